@@ -47,25 +47,35 @@ def with_order_rank(df: DataFrame, order_cols: Sequence[Column], rank_col: str =
     """Globally sort and number the rows 1..N in that order.
 
     ``row_number`` over an un-partitioned window would move every row into a
-    single task. Instead the frame is range-partitioned by the sort, each
-    partition numbers its rows locally, and partition offsets come from a
-    per-partition count (one row per partition). Work stays distributed.
+    single task. Instead the frame is range-partitioned by the sort and
+    tagged with ``monotonically_increasing_id`` (partition index in the high
+    bits, position in the low bits), then checkpointed to the shared
+    checkpoint folder so partition numbers cannot change between the two
+    uses below. Per-partition row counts (one row per partition) give each
+    partition's offset; the rank is offset + position + 1.
     """
-    sorted_df = df.orderBy(*order_cols).withColumn("__part", F.spark_partition_id())
-    local_window = Window.partitionBy("__part").orderBy(*order_cols)
-    local = sorted_df.withColumn("__local", F.row_number().over(local_window))
-    sizes = local.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
-    offsets = sizes.withColumn(
-        "__offset",
+    from marquee.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    tagged = (
+        df.orderBy(*order_cols)
+        .withColumn("__mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
+    low_bits = (1 << 33) - 1
+    tagged = tagged.withColumn("__part", F.shiftright("__mid", 33)).withColumn(
+        "__pos", F.col("__mid").bitwiseAND(F.lit(low_bits))
+    )
+    sizes = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    offsets = sizes.select(
+        "__part",
         F.coalesce(
-            F.sum("__size").over(
-                Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-            ),
+            F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
-        ),
-    ).select("__part", "__offset")
+        ).alias("__offset"),
+    )
     return (
-        local.join(F.broadcast(offsets), "__part")
-        .withColumn(rank_col, F.col("__offset") + F.col("__local"))
-        .drop("__part", "__local", "__offset")
+        tagged.join(F.broadcast(offsets), "__part")
+        .withColumn(rank_col, F.col("__offset") + F.col("__pos") + F.lit(1))
+        .drop("__part", "__pos", "__offset", "__mid")
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.plans import checks
 from marquee.plans import ratings as R
 from marquee.plans import reviews as V
 from marquee.sources import testdata as T
@@ -52,4 +53,5 @@ def _report_queries() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     out = _report_queries()
+    out.update(checks.queries())
     return out

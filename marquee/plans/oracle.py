@@ -171,6 +171,118 @@ SELECT topic, word, freq FROM r WHERE rn <= 5""",
     }
 
 
+RATING_ROWS = """SELECT CAST(l_orderkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
+       l_quantity AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem"""
+
+DOC_TOKENS = f"""tok AS (
+  SELECT word, topic FROM ({_tokens('lower(review)', 'topic', 'reviews')}) t WHERE word <> '')"""
+
+
+def _check_sql() -> dict[str, str]:
+    cleaned = (
+        f"regexp_replace(regexp_replace(lower(text), '{PUNCTUATION_DELETED}', '', 'g'), "
+        f"'{SYMBOLS_TO_BLANK}', ' ', 'g')"
+    )
+    reports = _report_sql()
+    return {
+        "scan_lines": """SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), p_name, p_brand, p_type,
+       CAST(p_size AS VARCHAR)) AS line FROM part""",
+        "union_ratings": RATING_ROWS,
+        "ingest_ratings": RATING_ROWS,
+        "ingest_movies": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', ' || p_brand AS title,
+       array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), '|') AS genres FROM part""",
+        "ingest_quoted": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', "' || p_brand || '"' AS title,
+       array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), '|') AS genres FROM part""",
+        "ingest_users": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, substr(c_mktsegment, 1, 1) AS gender,
+       CAST(floor(c_acctbal / 100) AS INTEGER) AS age, CAST(c_nationkey AS VARCHAR) AS occupation_id,
+       c_name AS zip_code FROM customer""",
+        "ingest_occupations": """SELECT CAST(n_nationkey AS VARCHAR) AS occupation_id,
+       n_name || ',' || CAST(n_regionkey AS VARCHAR) AS occupation_name FROM nation""",
+        "ingest_reviews": f"""WITH {REVIEWS}
+SELECT CAST(id AS INTEGER) AS id, regexp_replace(review, '[;\r\n]', ' ', 'g') AS review, topic, aspect, sentiment
+FROM reviews
+UNION ALL SELECT * FROM (VALUES (1, 'short', NULL, NULL, NULL),
+  (NULL, 'bad id', 'en', 'src0', 'positive'), (2, 'extra', 'en', 'src1', 'negative'))
+  t(id, review, topic, aspect, sentiment)""",
+        "ingest_stopwords": "SELECT p_name AS word FROM part",
+        "op_skip_header": """SELECT 'ok' AS reason, count(*) AS n FROM part
+UNION ALL SELECT reason, CAST(n AS BIGINT) AS n FROM (VALUES ('header', 2), ('blank', 2),
+  ('too_few_fields', 1), ('blank_field', 2)) t(reason, n)""",
+        "op_drop_malformed": """WITH c AS (
+  SELECT CASE WHEN l_tax = 0 THEN 'too_few_fields' WHEN l_discount = 0 THEN 'bad_number' ELSE 'ok' END AS reason
+  FROM lineitem
+  UNION ALL SELECT * FROM (VALUES ('header'), ('header'), ('blank'), ('blank'), ('too_few_fields'),
+    ('bad_number'), ('bad_number'), ('bad_number')) t(reason))
+SELECT reason, count(*) AS n FROM c GROUP BY reason""",
+        "sink_tsv": reports["genre_rating_stats"],
+        "sink_csv": reports["topic_top_words"],
+        "sink_overwrite": reports["occupation_rating_stats"],
+        "op_filter_ne": """SELECT p_partkey, nullif(p_brand, 'Brand#11') AS brand FROM part
+WHERE nullif(p_brand, 'Brand#11') <> 'Brand#12'""",
+        "op_filter_and": """SELECT p_partkey, p_name, nullif(p_size, 1) AS size FROM part
+WHERE nullif(p_size, 1) <> 2 AND p_name <> 'blue bolt'""",
+        "op_filter_eq": f"""WITH {REVIEWS}
+SELECT id, topic, aspect FROM reviews WHERE sentiment = 'negative'""",
+        "op_inner_join": """SELECT l_orderkey, l_linenumber, p_name FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_size <= 25""",
+        "op_broadcast_join": """SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        "op_left_lookup": f"""WITH {RATINGS},
+stats AS (SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n FROM ratings GROUP BY movie_id),
+mv AS (SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS title FROM part WHERE p_size <= 25)
+SELECT s.movie_id, coalesce(mv.title, s.movie_id) AS title, s.avg_rating, s.n
+FROM stats s LEFT JOIN mv ON s.movie_id = mv.movie_id""",
+        "op_left_outer": f"""WITH {REVIEWS_PLAIN}, {STOPWORDS}, {DOC_TOKENS}
+SELECT tok.word, s.word AS stop_word, count(*) AS n
+FROM tok LEFT JOIN stopwords s ON tok.word = s.word GROUP BY tok.word, s.word""",
+        "op_left_anti": f"""WITH {REVIEWS_PLAIN}, {STOPWORDS}, {DOC_TOKENS},
+t2 AS (SELECT nullif(word, 'and') AS word FROM tok)
+SELECT word, count(*) AS n FROM t2
+WHERE NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = t2.word) GROUP BY word""",
+        "op_group_count": """SELECT p_size, count(nullif(p_brand, 'Brand#11')) AS n_non_null, count(*) AS n_rows
+FROM part GROUP BY p_size""",
+        "op_group_multi_key": """SELECT lang AS topic, source AS aspect, count(lang) AS n FROM documents
+GROUP BY lang, source""",
+        "op_nested_group": """SELECT c_mktsegment, c_custkey, c_acctbal FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rn
+  FROM customer) t WHERE rn <= 3""",
+        "op_distinct": "SELECT DISTINCT o_custkey, o_orderstatus FROM orders",
+        "op_pivot": """SELECT l_suppkey,
+  avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS A_avg_qty, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS A_n,
+  avg(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS N_avg_qty, count(CASE WHEN l_returnflag = 'N' THEN 1 END) AS N_n,
+  avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS R_avg_qty, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS R_n
+FROM lineitem GROUP BY l_suppkey""",
+        "op_explode_list": """SELECT p_partkey, item FROM (
+  SELECT p_partkey, trim(unnest(string_split(
+    replace(p_name, ' ', '| |') || '|' || p_brand || '| |' || p_brand, '|'))) AS item FROM part) t
+WHERE item <> ''""",
+        "op_tokenize": f"""SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, md5(array_to_string(toks, ' ')) AS tokens_md5
+FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '{TOKEN_RE}'), lambda x: x <> '') AS toks
+      FROM documents) t""",
+        "op_lower_trim": """SELECT doc_id, md5(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))) AS text_md5
+FROM documents""",
+        "op_clean_text": f"SELECT doc_id, md5({cleaned}) AS text_md5 FROM documents",
+        "op_sort_asc": f"""WITH {RATINGS}, {MOVIES}, {MOVIE_STATS}
+SELECT movie_id, title, avg_rating, n, row_number() OVER (ORDER BY title, movie_id) AS rank FROM titled""",
+        "op_sort_desc": f"""WITH {REVIEWS_PLAIN},
+c AS (SELECT aspect, count(DISTINCT id) AS num_comments FROM reviews GROUP BY aspect)
+SELECT aspect, num_comments, row_number() OVER (ORDER BY num_comments DESC, aspect) AS rank FROM c""",
+        "op_top_k": f"""WITH {RATINGS},
+s AS (SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n FROM ratings GROUP BY movie_id)
+SELECT movie_id, avg_rating, n, row_number() OVER (ORDER BY avg_rating DESC, n DESC, movie_id) AS rank
+FROM s ORDER BY avg_rating DESC, n DESC, movie_id LIMIT 10""",
+        "op_top_one": """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1""",
+        "op_union_all": """SELECT 'orders' AS src, o_custkey AS custkey FROM orders
+UNION ALL SELECT 'customer' AS src, c_custkey AS custkey FROM customer""",
+        "op_bucket": f"""WITH {USERS}
+SELECT user_id, age, {AGE_BUCKET} AS age_group FROM users""",
+        "op_header_test": """SELECT p_partkey,
+  starts_with(lower(regexp_replace('  ' || upper(p_name), '^\\s+|\\s+$', '', 'g')), 'small') AS starts_small,
+  contains(lower(regexp_replace('  ' || upper(p_name), '^\\s+|\\s+$', '', 'g')), 'bolt') AS has_bolt
+FROM part""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = _report_sql()
+    out.update(_check_sql())
     return out
