@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import TOKEN_DELIMITERS, split_list, tokenize
+from marquee.functions.text import TOKEN_DELIMITERS, delimiter_pattern, split_list
 from marquee.operators.topk import top_k_per_group
 
 
@@ -27,8 +27,14 @@ def explode_tokens(
     out_col: str = "word",
     delimiters: str = TOKEN_DELIMITERS,
 ) -> DataFrame:
-    """One row per token occurrence of ``text``; a NULL or token-less text gives no row."""
-    return df.select(F.explode(tokenize(text, delimiters)).alias(out_col), *keep)
+    """One row per token occurrence of ``text``; a NULL or token-less text gives no row.
+
+    The empty pieces left by leading delimiters are dropped after the
+    explode with a plain filter: an array ``filter`` lambda is not
+    code-generated, a ``where`` on the exploded column is.
+    """
+    pieces = df.select(F.explode(F.split(text, delimiter_pattern(delimiters))).alias(out_col), *keep)
+    return pieces.where(F.col(out_col) != F.lit(""))
 
 
 def nested_group(
