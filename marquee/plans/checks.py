@@ -155,6 +155,25 @@ def union_ratings(spark: SparkSession, d: str) -> DataFrame:
     return REC.ingest_ratings(REC.scan_lines(spark, [first, second])).rows
 
 
+def stream_ingest_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """Rating files landing in a folder, ingested by a streaming query
+    (process everything available, then stop), read back as a table."""
+    from marquee.streaming import read_ingested, start_ingest, stream_lines
+
+    lines = _rating_lines(spark, d)
+    landing = scratch_path(spark, "landing")
+    lines.where(F.col("l_linestatus") == "O").select("value").write.text(landing + "/part=1")
+    lines.where(F.col("l_linestatus") != "O").select("value").unionByName(
+        _noise(spark, RATING_NOISE)
+    ).write.text(landing + "/part=2")
+    out = scratch_path(spark, "ingested")
+    query = start_ingest(
+        stream_lines(spark, landing + "/*"), REC.ingest_ratings, out, scratch_path(spark, "stream_ckpt")
+    )
+    query.awaitTermination()
+    return read_ingested(spark, out).select("user_id", "movie_id", "rating", "ts")
+
+
 def op_skip_header(spark: SparkSession, d: str) -> DataFrame:
     """Reject reasons of movie lines: headers (any case, any position), blanks, blank fields."""
     lines = _movie_lines(spark, d).unionByName(_noise(spark, MOVIE_NOISE))
@@ -388,7 +407,7 @@ def op_header_test(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     fns = [
         scan_lines, union_ratings, ingest_movies, ingest_quoted, ingest_ratings, ingest_users,
-        ingest_occupations, ingest_reviews, ingest_stopwords, op_skip_header, op_drop_malformed,
+        ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
         sink_tsv, sink_csv, sink_overwrite, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
         op_inner_join, op_broadcast_join, op_left_lookup, op_left_outer, op_left_anti, op_group_count,
         op_group_multi_key, op_nested_group, op_distinct, op_pivot, op_explode_list, op_tokenize,

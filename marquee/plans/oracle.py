@@ -189,6 +189,7 @@ def _check_sql() -> dict[str, str]:
        CAST(p_size AS VARCHAR)) AS line FROM part""",
         "union_ratings": RATING_ROWS,
         "ingest_ratings": RATING_ROWS,
+        "stream_ingest_ratings": RATING_ROWS,
         "ingest_movies": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', ' || p_brand AS title,
        array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), '|') AS genres FROM part""",
         "ingest_quoted": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', "' || p_brand || '"' AS title,
