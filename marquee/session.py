@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="marquee-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -42,8 +42,13 @@ _QUOTED_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 @dataclass(frozen=True)
 class Ingested:
+    """``rows``: typed records; ``rejects``: (line, reason);
+    ``tagged``: every line once, typed columns plus ``line`` and ``reason``
+    (NULL for accepted lines), for writers that keep both in one pass."""
+
     rows: DataFrame
     rejects: DataFrame
+    tagged: DataFrame
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -65,12 +70,11 @@ def _fields(line: Column, quoted: bool) -> Column:
 
 
 def _split_result(df: DataFrame, reason: Column, typed: list[Column]) -> Ingested:
-    tagged = df.withColumn("__reason", reason)
-    rows = tagged.where(F.col("__reason").isNull()).select(*typed)
-    rejects = tagged.where(F.col("__reason").isNotNull()).select(
-        F.col("value").alias("line"), F.col("__reason").alias("reason")
-    )
-    return Ingested(rows, rejects)
+    tagged = df.select(*typed, F.col("value").alias("line"), reason.alias("reason"))
+    names = [c for c in tagged.columns if c not in ("line", "reason")]
+    rows = tagged.where(F.col("reason").isNull()).select(*names)
+    rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
+    return Ingested(rows, rejects, tagged)
 
 
 def _base_reason(line: Column, headers: tuple[str, ...], n: Column, min_fields: int) -> Column:

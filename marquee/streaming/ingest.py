@@ -1,20 +1,21 @@
 """Incremental ingest of arriving text files with the batch line parsers.
 
 The record parsers in :mod:`marquee.sources.records` are pure projections,
-so they apply unchanged to ``spark.readStream.text``. Each micro-batch is
-parsed once and written as parquet: typed rows and rejected lines side by
-side, each micro-batch into its own ``batch=<id>`` folder with overwrite, so
-a batch that is replayed after a failure replaces its own output instead of
-duplicating it. Progress is tracked in the checkpoint location, which must
-be on shared storage.
+so they apply unchanged to ``spark.readStream.text``. Every line is parsed
+once and written by the built-in parquet file sink, partitioned by
+``status`` (typed rows under ``status=accepted``, rejected lines with their
+reason under ``status=rejected``). The file sink commits each micro-batch in
+its metadata log, so a batch replayed after a failure is not written twice,
+and readers of the output folder only see committed files. Progress is
+tracked in the checkpoint location, which must be on shared storage.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.sources.records import Ingested
@@ -37,19 +38,20 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start a query writing ``<output_dir>/rows`` and ``<output_dir>/rejects``.
+    """Start the ingest query into ``output_dir``.
 
     ``available_now`` processes everything present and stops; otherwise the
     query runs with the given ``processing_time`` trigger.
     """
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parser(batch)
-        sub = f"batch={batch_id}"
-        parsed.rows.write.mode("overwrite").parquet(os.path.join(output_dir, "rows", sub))
-        parsed.rejects.write.mode("overwrite").parquet(os.path.join(output_dir, "rejects", sub))
-
-    writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    status = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    tagged = parser(lines).tagged.withColumn("status", status)
+    writer = (
+        tagged.writeStream.format("parquet")
+        .partitionBy("status")
+        .option("path", output_dir)
+        .option("checkpointLocation", checkpoint_location)
+        .outputMode("append")
+    )
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -58,5 +60,8 @@ def start_ingest(
 
 
 def read_ingested(spark: SparkSession, output_dir: str, part: str = "rows") -> DataFrame:
-    """All batches written so far (``batch`` is kept as a partition column)."""
-    return spark.read.parquet(os.path.join(output_dir, part))
+    """Committed output so far: ``rows`` (typed columns) or ``rejects`` (line, reason)."""
+    out = spark.read.parquet(output_dir)
+    if part == "rows":
+        return out.where(F.col("status") == "accepted").drop("status", "line", "reason")
+    return out.where(F.col("status") == "rejected").select("line", "reason")
