@@ -10,17 +10,15 @@ The reports need two session-level guarantees:
 
 Anything that has to be materialised (sinks read back by the checks, lineage
 cuts) goes below the folder named by ``spark.checkpoint.dir``. That setting
-belongs to the cluster; it is only filled in here when the session has none,
-which is the case for local tests.
+belongs to the cluster; a session without one uses its warehouse folder.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,19 +52,21 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediates.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs, tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` of the session. Where it is unset, a folder of the
+    session's warehouse (which every executor reaches) is registered instead.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="marquee-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the checkpoint folder, its lineage cut there."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
