@@ -1,0 +1,51 @@
+"""DuckDB statements equal to the registered queries of the subpackage."""
+
+from __future__ import annotations
+
+OP2_SHARDING = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i:
+           list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), i::BIGINT)) AS t
+), byte_list AS (
+  SELECT doc_id, text,
+         list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes
+  FROM documents
+), records AS (
+  SELECT b.doc_id, (coalesce(strlen(b.text), 0) + 1)::BIGINT AS size,
+         xor(4294967295, list_reduce(b.bytes, lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32,
+         ((('0x' || substr(md5(coalesce(b.doc_id::VARCHAR, '')), 1, 8))::BIGINT) % 4096)::INT AS vslot
+  FROM byte_list b, crc_table t
+), loads AS (
+  SELECT s.vslot::INT AS vslot, (s.vslot % 16)::INT AS shard,
+         coalesce(sum(r.size), 0)::BIGINT AS bytes, count(r.size) AS n_rows
+  FROM range(4096) s(vslot) LEFT JOIN records r ON r.vslot = s.vslot GROUP BY ALL
+), marked AS (
+  SELECT *, sum(bytes) OVER (PARTITION BY shard ORDER BY bytes DESC, vslot ROWS UNBOUNDED PRECEDING) * 16
+            <= sum(bytes) OVER () AS fits
+  FROM loads
+), pool AS (
+  SELECT vslot, bytes, row_number() OVER (ORDER BY bytes DESC, vslot) AS i FROM marked WHERE NOT fits
+), walk(i, vslot, shard, now) AS (
+  SELECT 0::BIGINT, -1, -1, (SELECT list(coalesce(b, 0)::BIGINT ORDER BY s) FROM range(16) k(s)
+                     LEFT JOIN (SELECT shard, sum(bytes) AS b FROM marked WHERE fits GROUP BY shard) m ON m.shard = k.s)
+  UNION ALL
+  SELECT p.i, p.vslot, (list_position(w.now, list_min(w.now)) - 1)::INT,
+         list_transform(w.now, lambda v, j: CASE WHEN j = list_position(w.now, list_min(w.now)) THEN v + p.bytes ELSE v END)
+  FROM walk w JOIN pool p ON p.i = w.i + 1
+), placed AS (
+  SELECT m.vslot, coalesce(w.shard, m.shard)::INT AS shard, m.n_rows
+  FROM marked m LEFT JOIN walk w ON w.vslot = m.vslot
+), offsets AS (
+  SELECT vslot, shard, coalesce(sum(n_rows) OVER (PARTITION BY shard ORDER BY vslot
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM placed
+)
+SELECT r.doc_id, r.size, r.text_crc32::BIGINT AS text_crc32, 'bytes' AS law, o.shard,
+       (o.before + row_number() OVER (PARTITION BY r.vslot ORDER BY r.doc_id, r.text_crc32, r.size) - 1)::BIGINT AS slot,
+       NULL::INT AS grown_shard, r.vslot
+FROM records r JOIN offsets o ON o.vslot = r.vslot
+"""
+
+SQL = {
+    "op2_sharding": OP2_SHARDING,
+}
