@@ -73,11 +73,12 @@ def rebalance(slot_map: DataFrame, loads: DataFrame, n_shards: int) -> DataFrame
     This is a fold over at most ``n_slots`` structs.
     """
     marked = _over(_loaded(slot_map, loads), n_shards)
-    kept = marked.where("fits").groupBy("shard").agg(F.sum("bytes").alias("bytes"))
     pool = F.array_sort(F.collect_list(F.when(~F.col("fits"), F.struct((-F.col("bytes")).alias("less"), "vslot"))))
+    kept = F.collect_list(F.when(F.col("fits"), F.struct("shard", "bytes")))
+    zero = F.lit(0).cast("bigint")
     loads_now = F.transform(
         F.sequence(F.lit(0), F.lit(n_shards - 1)),
-        lambda s: F.coalesce(F.col("kept")[s], F.lit(0).cast("bigint")),
+        lambda s: F.aggregate("kept", zero, lambda acc, k: acc + F.when(k["shard"] == s, k["bytes"]).otherwise(zero)),
     )
     state = F.struct(
         F.col("start").alias("loads"),
@@ -91,10 +92,8 @@ def rebalance(slot_map: DataFrame, loads: DataFrame, n_shards: int) -> DataFrame
             F.concat(acc["moves"], F.array(F.struct(item["vslot"].alias("vslot"), least.alias("shard")))).alias("moves"),
         )
 
-    kept_map = kept.agg(F.map_from_entries(F.collect_list(F.struct("shard", "bytes"))).alias("kept"))
     moved = (
-        marked.agg(pool.alias("pool"))
-        .join(kept_map)  # one row each
+        marked.agg(pool.alias("pool"), kept.alias("kept"))
         .withColumn("start", loads_now)
         .select(F.explode(F.aggregate("pool", state, place)["moves"]).alias("m"))
         .select("m.vslot", F.col("m.shard").alias("to"))
