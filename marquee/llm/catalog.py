@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import oracle
-from marquee.llm import sharding
+from marquee.llm import decontam, mixing, oracle, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +16,24 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_report(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_sharding": op2_sharding,
+        "op3_decontamination": op3_decontamination,
+        "op4_mixing": op4_mixing,
+        "op9_url_filter": op9_url_filter,
     }
 
 

@@ -46,6 +46,100 @@ SELECT r.doc_id, r.size, r.text_crc32::BIGINT AS text_crc32, 'bytes' AS law, o.s
 FROM records r JOIN offsets o ON o.vslot = r.vslot
 """
 
+OP3_DECONTAMINATION = r"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, len(least_w) AS n, array_to_string(least_w, ' ') AS win
+  FROM (SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 10, 0)::BIGINT + 2),
+                                 lambda i: list_slice(w, i, i + 9))) AS least_w
+        FROM items WHERE len(w) > 0)
+), docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), lengths AS (
+  SELECT DISTINCT n FROM wins
+), doc_wins AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM docs, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT d.doc_id, d.n, d.i, x.item_id
+  FROM (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win FROM doc_wins) d
+  JOIN wins x ON x.win = d.win AND x.n = d.n
+), places AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(p.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n.n_items, 0)::BIGINT AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+OP4_MIXING = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5('mix-1' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+  FROM documents
+), sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM docs GROUP BY source
+), dealt(round, source, source_size, weight, target, full_now) AS (
+  SELECT 0, source, source_size, weight, 0.0::DOUBLE, false FROM sizes
+  UNION ALL
+  SELECT round + 1, source, source_size, weight,
+         CASE WHEN full_now THEN target ELSE weight * level END,
+         full_now OR weight * level >= 2 * source_size
+  FROM (SELECT *, (1.5 * sum(source_size) OVER () - sum(CASE WHEN full_now THEN 2 * source_size ELSE 0 END) OVER ())
+                  / nullif(sum(CASE WHEN full_now THEN 0 ELSE weight END) OVER (), 0) AS level FROM dealt)
+  WHERE round <= (SELECT count(*) FROM sizes)
+), targets AS (
+  SELECT source, source_size, CASE WHEN full_now THEN (2 * source_size)::DOUBLE ELSE target END AS target
+  FROM dealt WHERE round = (SELECT max(round) FROM dealt)
+), parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
+         floor(target)::BIGINT - CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END * source_size AS part
+  FROM targets
+), ordered AS (
+  SELECT d.*, p.source_size, p.target, p.epochs, p.part,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, part - before)))::BIGINT AS taken
+FROM ordered
+"""
+
+OP9_URLS = r"""
+WITH split AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), rules(action, rule_host, rule_path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), fitting AS (
+  SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(action, length(rule_host || rule_path)) AS action
+  FROM split LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id, host, path
+)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches(host, 'casino|free-bets|spam-farm|adult-') THEN 'block' ELSE 'allow' END) AS verdict
+FROM fitting
+"""
+
 SQL = {
     "op2_sharding": OP2_SHARDING,
+    "op3_decontamination": OP3_DECONTAMINATION,
+    "op4_mixing": OP4_MIXING,
+    "op9_url_filter": OP9_URLS,
 }
