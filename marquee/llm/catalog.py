@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import decontam, mixing, oracle, sharding, urls
+from marquee.llm import decontam, mixing, oracle, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rules_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
 
@@ -33,6 +41,8 @@ def queries() -> dict[str, Query]:
         "op2_sharding": op2_sharding,
         "op3_decontamination": op3_decontamination,
         "op4_mixing": op4_mixing,
+        "op5_quality_classifier": op5_quality_classifier,
+        "op7_quality_rules": op7_quality_rules,
         "op9_url_filter": op9_url_filter,
     }
 

@@ -149,3 +149,21 @@ def bytes_per_row(chunk: Chunk, flags: np.ndarray) -> np.ndarray:
     """Counts flagged bytes by row."""
     total = np.concatenate(([0], np.cumsum(flags)))
     return total[chunk.bounds[1:]] - total[chunk.bounds[:-1]]
+
+
+def resplit(chunk: Chunk, is_word: np.ndarray, fold: np.ndarray) -> Chunk:
+    """The same texts split by another byte class."""
+    return _chunk(chunk.first_row, chunk.raw, chunk.bounds, is_word, fold)
+
+
+def repeats(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each (row, hash) pair: whether it is the first of its kind, and how many there are of it."""
+    first, count = np.zeros(len(row), dtype=bool), np.zeros(len(row), np.int64)
+    if len(row):
+        key = hashes ^ mix(row.astype(np.uint64) + np.uint64(1))
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
+        sizes = np.diff(np.concatenate((starts, [len(row)])))
+        first[order[starts]] = True
+        count[order] = np.repeat(sizes, sizes)
+    return first, count
