@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import decontam, mixing, oracle, pu, quality_rules, sharding, urls
+from marquee.llm import decontam, mixing, near_dups, oracle, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op4_mixing": op4_mixing,
         "op5_quality_classifier": op5_quality_classifier,
         "op7_quality_rules": op7_quality_rules,
+        "op8_near_dups": op8_near_dups,
         "op9_url_filter": op9_url_filter,
     }
 
