@@ -63,12 +63,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the checkpoint folder, its lineage cut there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), "marquee", spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "marquee", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never reused path below the application's scratch folder."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet to the shared scratch folder and read back.
+
+    Its lineage ends there, a lost executor costs nothing, and joins see its true size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Removes what this application has written to its scratch folder.
+
+    For the end of an application: results that still read from it are lost.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
