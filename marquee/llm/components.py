@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import checkpointed
+from marquee.session import materialized
 
 SALTS = 16
 
@@ -45,9 +45,10 @@ def _unsettled(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges ``u``, ``v``; the component is its smallest node."""
-    now = checkpointed(edges.where(F.col("u") != F.col("v")).select("u", "v").distinct())
+    now = materialized(edges.where(F.col("u") != F.col("v")).select("u", "v").distinct(), "edges")
     while not _unsettled(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))).isEmpty():
-        now = checkpointed(_small_star(checkpointed(_large_star(now).distinct())).distinct())
+        large = materialized(_large_star(now).distinct(), "large-star")
+        now = materialized(_small_star(large).distinct(), "small-star")
     roots = now.select(F.least("u", "v").alias("v")).distinct()
     return now.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("component")).unionAll(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.session import scratch_path
+from marquee.session import materialized
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -83,12 +83,10 @@ def cut_points(
     Written to the checkpoint folder and read back, so that its true size is
     known to the join that uses it.
     """
-    spark = docs.sparkSession
     key = mix_key(F.col("doc_id"), seed)
     keyed = docs.select("source", key.alias("key"), "text").withColumn("range", key_range(F.col("key")))
-    ranges_path = scratch_path(spark, "mix-ranges")
-    keyed.groupBy("source", "range").agg(F.sum(n_words(F.col("text"))).alias("range_size")).write.parquet(ranges_path)
-    ranges = spark.read.parquet(ranges_path)
+    ranges = keyed.groupBy("source", "range").agg(F.sum(n_words(F.col("text"))).alias("range_size"))
+    ranges = materialized(ranges, "mix-ranges")
 
     sizes = ranges.groupBy("source").agg(F.sum("range_size").alias("source_size"))
     budget = F.floor("target").cast("bigint")
@@ -110,11 +108,8 @@ def cut_points(
         .where((F.col("before") <= F.col("part")) & (F.col("part") < F.col("before") + F.col("range_size")))
         .select("of", F.col("range").alias("in_range"), "before", "part")
     )
-    cut_path = scratch_path(spark, "mix-cut-ranges")
-    cut_range.write.parquet(cut_path)
-
     inside = keyed.join(
-        spark.read.parquet(cut_path), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in_range"))
+        materialized(cut_range, "mix-cut-ranges"), F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in_range"))
     ).select("of", "key", n_words(F.col("text")).alias("size"), "before", "part")
     ties = inside.groupBy("of", "key", "size", "before", "part").agg(F.count(F.lit(1)).alias("n"))
     so_far = Window.partitionBy("of").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,11 +123,10 @@ def cut_points(
             F.expr("(part - upto) div n").alias("cut_words"),
         )
     )
-    out = scratch_path(spark, "mix-cuts")
-    targets.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").select(
+    found = targets.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").select(
         "of", "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words"
-    ).write.parquet(out)
-    return spark.read.parquet(out)
+    )
+    return materialized(found, "mix-cuts")
 
 
 def taken_words(docs: DataFrame, cuts: DataFrame, seed: str = "mix-1") -> DataFrame:

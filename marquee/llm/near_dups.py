@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from marquee.llm import words as W
 from marquee.llm.components import components
-from marquee.session import checkpointed, scratch_path
+from marquee.session import materialized
 
 SHINGLE = 5
 SIMILAR = (85, 100)
@@ -169,12 +169,6 @@ def shingle_set(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values))
 
 
-def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = os.path.join(folder, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _differing(a: str, b: str) -> Column:
     """Population count of the XOR of two sketches held as columns."""
     total = F.lit(0)
@@ -220,14 +214,14 @@ def _open_buckets(grouped: DataFrame) -> DataFrame:
     mains = counts.groupBy("key").agg(
         F.max(F.struct("n", (-F.col("comp")).alias("less"))).alias("most"), F.count(F.lit(1)).alias("comps")
     )
-    mains = checkpointed(mains.where(F.col("comps") > 1).select("key", (-F.col("most.less")).alias("main")))
-    return checkpointed(grouped.join(mains, "key"))
+    mains = materialized(mains.where(F.col("comps") > 1).select("key", (-F.col("most.less")).alias("main")), "mains")
+    return materialized(grouped.join(mains, "key"), "open-buckets")
 
 
 def _star_pairs(opened: DataFrame, reps: DataFrame, seed: int) -> DataFrame:
     """For each document outside its buckets' main components: its best leader that passes the sketch test."""
     by = F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep"))
-    leaders = checkpointed(opened.where("comp = main").groupBy("key").agg(by["rep"].alias("leader")))
+    leaders = materialized(opened.where("comp = main").groupBy("key").agg(by["rep"].alias("leader")), "leaders")
     pairs = opened.where("comp != main").join(leaders, "key").select("rep", "leader").distinct()
     mine = reps.select("rep", F.col("n").alias("n"), *_spread("x"))
     theirs = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n_leader"), *_spread("y"))
@@ -282,54 +276,53 @@ def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     grouped = members.withColumn("comp", F.col("rep"))
     for seed in range(STAR_ROUNDS):
         fresh = _verified(_star_pairs(_open_buckets(grouped), reps, seed), sets)
-        links = checkpointed(links.unionAll(fresh))
-        found = checkpointed(components(links))
+        links = materialized(links.unionAll(fresh), "links")
+        found = materialized(components(links), "components")
         grouped = _grouped(found, members)
 
     best_first = Window.partitionBy("a").orderBy("bits", "b")
-    pairs = checkpointed(_cross_pairs(_open_buckets(grouped), reps))
+    pairs = materialized(_cross_pairs(_open_buckets(grouped), reps), "cross-pairs")
     take = 1
     while not pairs.isEmpty():
-        ranked = checkpointed(pairs.withColumn("place", F.row_number().over(best_first)))
-        links = checkpointed(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets)))
-        found = checkpointed(components(links))
+        ranked = materialized(pairs.withColumn("place", F.row_number().over(best_first)), "ranked-pairs")
+        links = materialized(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets)), "links")
+        found = materialized(components(links), "components")
         of_a = found.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
         of_b = found.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
         left = ranked.where(F.col("place") > take).join(of_a, "a", "left").join(of_b, "b", "left")
-        pairs = checkpointed(left.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b", "bits"))
+        apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
+        pairs = materialized(left.where(apart).select("a", "b", "bits"), "cross-pairs")
         take *= 4
     return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
-    spark = docs.sparkSession
-    folder = scratch_path(spark, "near-dups")
     slim = docs.select("doc_id", "text")
     signed = slim.withColumn("s", signature("text")).select("doc_id", "s.*")
-    signed = _written(signed, folder, "signatures")
+    signed = materialized(signed, "signatures")
     linkable = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
 
     same_set = ["set_a", "set_b", "n"]
     reps = linkable.groupBy(*same_set).agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")
     )
-    reps = _written(reps, folder, "representatives")
+    reps = materialized(reps, "representatives")
 
     bucketed = reps.select("rep", F.explode("bands").alias("key"))
     shared = bucketed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = _written(bucketed.join(_written(shared, folder, "shared-keys"), "key"), folder, "members")
+    members = materialized(bucketed.join(materialized(shared, "shared-keys"), "key"), "members")
 
-    candidates = _written(members.select("rep").distinct(), folder, "candidates")
+    candidates = materialized(members.select("rep").distinct(), "candidates")
     found = slim.join(candidates, F.col("doc_id") == F.col("rep")).select("rep", shingle_set("text").alias("shingles"))
-    sets = _written(found, folder, "sets")
+    sets = materialized(found, "sets")
 
     found = _linked(members, reps, sets).withColumnRenamed("node", "rep")
     classes = reps.join(found, "rep", "left").where("copies > 1 or component is not null")
     classes = classes.select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("c"), F.coalesce("component", "rep").alias("component")
     )
-    classes = _written(classes, folder, "classes")
+    classes = materialized(classes, "classes")
     named = signed.select("doc_id", *same_set).join(
         classes, (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("c")), "left"
     )
@@ -341,7 +334,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id."""
-    folder = scratch_path(docs.sparkSession, "near-dups-dropped")
     dropped = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    dropped = _written(dropped, folder, "ids")
+    dropped = materialized(dropped, "ids")
     return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
