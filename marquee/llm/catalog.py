@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import decontam, mixing, near_dups, oracle, pu, quality_rules, sharding, urls
+from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_sharding": op2_sharding,
         "op3_decontamination": op3_decontamination,
         "op4_mixing": op4_mixing,

@@ -2,6 +2,48 @@
 
 from __future__ import annotations
 
+OP1_LM_SCORING = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS wanted,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), tokens AS (
+  SELECT d, wanted, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs
+), vocab AS (
+  SELECT word FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word) ORDER BY n DESC, word LIMIT 1024
+), named AS (
+  SELECT t.d, t.wanted, t.i,
+         CASE WHEN v.word IS NOT NULL THEN 'w' || t.word
+              ELSE 'c' || (least((length(t.word) - 1) // 4, 3) + CASE WHEN regexp_matches(t.word, '[!-@\[-`{-~]') THEN 4 ELSE 0 END)
+         END AS s
+  FROM tokens t LEFT JOIN vocab v ON v.word = t.word
+), pairs AS (
+  SELECT d, wanted, coalesce(lag(s) OVER (PARTITION BY d ORDER BY i), '^') AS h, s FROM named
+), size AS (
+  SELECT count(*) + 8 AS n FROM vocab
+), cells AS (
+  SELECT h, s, count(*) AS b, count(*) FILTER (WHERE wanted) AS t FROM pairs GROUP BY h, s
+), hist AS (
+  SELECT h, sum(b) AS b, sum(t) AS t FROM cells GROUP BY h
+), uni AS (
+  SELECT s, (sum(b) + 0.5::DOUBLE) / ((SELECT sum(b) FROM cells) + 0.5::DOUBLE * (SELECT n FROM size)) AS b,
+            (sum(t) + 0.5::DOUBLE) / ((SELECT sum(t) FROM cells) + 0.5::DOUBLE * (SELECT n FROM size)) AS t
+  FROM cells GROUP BY s
+), loss AS (
+  SELECT c.h, c.s,
+         -ln(CASE WHEN h.b > 0 THEN 0.75::DOUBLE * (c.b::DOUBLE / h.b) + 0.25::DOUBLE * u.b ELSE u.b END) AS b,
+         -ln(CASE WHEN h.t > 0 THEN 0.75::DOUBLE * (c.t::DOUBLE / h.t) + 0.25::DOUBLE * u.t ELSE u.t END) AS t
+  FROM cells c JOIN hist h ON h.h = c.h JOIN uni u ON u.s = c.s
+), scored AS (
+  SELECT p.d, avg(l.t) AS t, avg(l.b) AS b FROM pairs p JOIN loss l ON l.h = p.h AND l.s = p.s GROUP BY p.d
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, round(s.t, 6) AS loss_target, round(s.b, 6) AS loss_background,
+       round(s.t - s.b, 6) AS score
+FROM docs d LEFT JOIN scored s ON s.d = d.d
+"""
+
 OP2_SHARDING = r"""
 WITH RECURSIVE crc_table AS (
   SELECT list_transform(range(256), lambda i:
@@ -138,6 +180,7 @@ FROM fitting
 """
 
 SQL = {
+    "op1_lm_scoring": OP1_LM_SCORING,
     "op2_sharding": OP2_SHARDING,
     "op3_decontamination": OP3_DECONTAMINATION,
     "op4_mixing": OP4_MIXING,
