@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, pu, quality_rules, sharding, urls
+from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, packing, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op4_mixing": op4_mixing,
         "op5_quality_classifier": op5_quality_classifier,
+        "op6_packing": op6_packing,
         "op7_quality_rules": op7_quality_rules,
         "op8_near_dups": op8_near_dups,
         "op9_url_filter": op9_url_filter,

@@ -1,0 +1,14 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    if not os.path.isdir(SF_DIR):
+        pytest.skip("test tables not present")
+    return SF_DIR
