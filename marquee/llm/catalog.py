@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, packing, pu, quality_rules, sharding, urls
+from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, packing, pii, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op7_quality_rules": op7_quality_rules,
         "op8_near_dups": op8_near_dups,
         "op9_url_filter": op9_url_filter,
+        "op10_pii": op10_pii,
     }
 
 
