@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from marquee.llm import decontam, lm_scoring, mixing, near_dups, oracle, packing, pii, pu, quality_rules, sharding, urls
 from marquee.sources.testdata import table
 
@@ -64,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op8_near_dups": op8_near_dups,
         "op9_url_filter": op9_url_filter,
         "op10_pii": op10_pii,
+        "pipeline": corpus_pipeline.run,
     }
 
 
