@@ -45,11 +45,11 @@ def _unsettled(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges ``u``, ``v``; the component is its smallest node."""
-    now = materialized(edges.where(F.col("u") != F.col("v")).select("u", "v").distinct(), "edges")
-    while not _unsettled(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))).isEmpty():
+    now = edges.where(F.col("u") != F.col("v")).select("u", "v").distinct()
+    while True:
         large = materialized(_large_star(now).distinct(), "large-star")
         now = materialized(_small_star(large).distinct(), "small-star")
-    roots = now.select(F.least("u", "v").alias("v")).distinct()
-    return now.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("component")).unionAll(
-        roots.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    )
+        if _unsettled(now).isEmpty():
+            break
+    roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

@@ -52,7 +52,7 @@ ROWS = 6
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
 SKETCH_WORDS = SKETCH_BITS // 64
-STAR_ROUNDS = 2
+STAR_ROUNDS = 2  # rounds against one leader per bucket
 
 _rng = np.random.default_rng(20240501)
 _MULTIPLY = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -205,28 +205,26 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _grouped(found: DataFrame, members: DataFrame) -> DataFrame:
     """``members`` (key, rep) with each representative's component."""
     named = found.select(F.col("node").alias("rep"), "component")
-    return members.join(named, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    return members.select("key", "rep").join(named, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
 
 
-def _open_buckets(grouped: DataFrame) -> DataFrame:
-    """Rows of buckets with several components, with ``main``: a component that is largest there."""
-    counts = grouped.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mains = counts.groupBy("key").agg(
-        F.max(F.struct("n", (-F.col("comp")).alias("less"))).alias("most"), F.count(F.lit(1)).alias("comps")
-    )
-    mains = materialized(mains.where(F.col("comps") > 1).select("key", (-F.col("most.less")).alias("main")), "mains")
-    return materialized(grouped.join(mains, "key"), "open-buckets")
+def _open_buckets(grouped: DataFrame, seed: int) -> DataFrame:
+    """(key, main, leader) of buckets with several components: a largest one, and one of its documents, drawn by hash."""
+    drawn = F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep")).alias("drawn")
+    counts = grouped.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), drawn)
+    most = F.max(F.struct("n", (-F.col("comp")).alias("less"), "drawn")).alias("most")
+    mains = counts.groupBy("key").agg(most, F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return materialized(mains.select("key", (-F.col("most.less")).alias("main"), F.col("most.drawn.rep").alias("leader")), "open-buckets")
 
 
-def _star_pairs(opened: DataFrame, reps: DataFrame, seed: int) -> DataFrame:
-    """For each document outside its buckets' main components: its best leader that passes the sketch test."""
-    by = F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep"))
-    leaders = materialized(opened.where("comp = main").groupBy("key").agg(by["rep"].alias("leader")), "leaders")
-    pairs = opened.where("comp != main").join(leaders, "key").select("rep", "leader").distinct()
-    mine = reps.select("rep", F.col("n").alias("n"), *_spread("x"))
+def _best_leaders(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Of every document's leaders that pass the sketch test, the best one."""
+    mine = reps.select("rep", "n", *_spread("x"))
     theirs = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n_leader"), *_spread("y"))
     near = (
-        pairs.join(mine, "rep")
+        pairs.select("rep", "leader")
+        .distinct()
+        .join(mine, "rep")
         .join(theirs, "leader")
         .select("rep", "leader", "n", "n_leader", _differing("x", "y").alias("bits"))
         .where((F.col("bits") <= max_differing_bits()) & _sizes_allow("n", "n_leader"))
@@ -271,22 +269,32 @@ def _cross_pairs(opened: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, component) of everything that verified links connect."""
-    links = members.sparkSession.createDataFrame([], "u bigint, v bigint")
-    grouped = members.withColumn("comp", F.col("rep"))
-    for seed in range(STAR_ROUNDS):
-        fresh = _verified(_star_pairs(_open_buckets(grouped), reps, seed), sets)
-        links = materialized(links.unionAll(fresh), "links")
-        found = materialized(components(links), "components")
+    """(node, component) of everything that verified links connect.
+
+    ``members`` are (key, rep, leader), the leader being a bucket's smallest id.
+    """
+    first = _best_leaders(members.where("rep != leader"), reps)
+    links = materialized(_verified(first, sets), "links")
+    found = components(links)
+    for seed in range(1, STAR_ROUNDS + 1):
         grouped = _grouped(found, members)
+        open_buckets = _open_buckets(grouped, seed)
+        if open_buckets.isEmpty():
+            return found
+        opened = grouped.join(open_buckets, "key")
+        if seed == STAR_ROUNDS:
+            break
+        again = _best_leaders(opened.where("comp != main"), reps)
+        links = materialized(links.unionAll(_verified(again, sets)), "links")
+        found = components(links)
 
     best_first = Window.partitionBy("a").orderBy("bits", "b")
-    pairs = materialized(_cross_pairs(_open_buckets(grouped), reps), "cross-pairs")
+    pairs = materialized(_cross_pairs(opened, reps), "cross-pairs")
     take = 1
     while not pairs.isEmpty():
         ranked = materialized(pairs.withColumn("place", F.row_number().over(best_first)), "ranked-pairs")
         links = materialized(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets)), "links")
-        found = materialized(components(links), "components")
+        found = components(links)
         of_a = found.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
         of_b = found.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
         left = ranked.where(F.col("place") > take).join(of_a, "a", "left").join(of_b, "b", "left")
@@ -310,10 +318,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = materialized(reps, "representatives")
 
     bucketed = reps.select("rep", F.explode("bands").alias("key"))
-    shared = bucketed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = materialized(bucketed.join(materialized(shared, "shared-keys"), "key"), "members")
+    shared = bucketed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader")).where("n > 1")
+    members = materialized(bucketed.join(materialized(shared.drop("n"), "shared-keys"), "key"), "members")
 
-    candidates = materialized(members.select("rep").distinct(), "candidates")
+    candidates = members.select(F.col("rep")).distinct()
     found = slim.join(candidates, F.col("doc_id") == F.col("rep")).select("rep", shingle_set("text").alias("shingles"))
     sets = materialized(found, "sets")
 
