@@ -1,47 +1 @@
-"""Column expressions (built-in Spark functions only, no Python UDFs)."""
-
-from marquee.functions.scalar import (
-    AGE_GROUPS,
-    age_group,
-    epoch_year,
-    format_avg,
-    is_blank,
-    is_header,
-    strip_ws,
-    to_double,
-    to_int,
-    to_long,
-)
-from marquee.functions.text import (
-    PIG_TOKEN_DELIMITERS,
-    TOKEN_DELIMITERS,
-    clean_text,
-    delete_punctuation,
-    delimiter_pattern,
-    lower_trim,
-    split_list,
-    symbols_to_space,
-    tokenize,
-)
-
-__all__ = [
-    "AGE_GROUPS",
-    "PIG_TOKEN_DELIMITERS",
-    "TOKEN_DELIMITERS",
-    "age_group",
-    "clean_text",
-    "delete_punctuation",
-    "delimiter_pattern",
-    "epoch_year",
-    "format_avg",
-    "is_blank",
-    "is_header",
-    "lower_trim",
-    "split_list",
-    "strip_ws",
-    "symbols_to_space",
-    "to_double",
-    "to_int",
-    "to_long",
-    "tokenize",
-]
+"""Column expressions shared by ingest and plans."""

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 # (upper bound exclusive, label): below 18, below 35, below 50, everything else.
 AGE_GROUPS = ("0-18", "18-35", "35-50", "50+")
 AGE_UPPER_BOUNDS = (18, 35, 50)
+# Unix seconds of 0001-01-01 and of the last second of 9999.
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
 
 
 def _col(c: Column | str) -> Column:
@@ -24,10 +26,6 @@ def strip_ws(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
 
 
-def is_blank(line: Column | str) -> Column:
-    return strip_ws(line) == F.lit("")
-
-
 def is_header(line: Column | str, *first_column_names: str) -> Column:
     """Case-insensitive prefix test on the stripped line (applied to every line)."""
     stripped = F.lower(strip_ws(line))
@@ -38,8 +36,12 @@ def is_header(line: Column | str, *first_column_names: str) -> Column:
 
 
 def to_double(c: Column | str) -> Column:
-    """String to double; unparsable text becomes NULL (the row is then rejected)."""
-    return _try_cast(_col(c), "double")
+    """String to double; unparsable text becomes NULL (the row is then rejected).
+
+    Spark's cast also reads type suffixes (``4.5f``, ``4.5d``); they are no numbers here.
+    """
+    text = _col(c)
+    return F.when(~text.rlike(r"[0-9.][fFdD]\s*$"), _try_cast(text, "double"))
 
 
 def to_int(c: Column | str) -> Column:
@@ -64,12 +66,12 @@ def age_group(age: Column | str) -> Column:
 
 
 def epoch_year(ts: Column | str) -> Column:
-    """Calendar year (UTC) of a Unix-seconds value, independent of the session zone."""
-    days = F.floor(_col(ts) / F.lit(86400)).cast("int")
+    """Calendar year (UTC) of a Unix-seconds value, independent of the session zone; NULL out of range."""
+    seconds = _col(ts)
+    days = F.floor(F.when(in_calendar(seconds), seconds) / F.lit(86400)).cast("int")
     return F.year(F.date_from_unix_date(days))
 
 
-def format_avg(value: Column | str, decimals: int = 2) -> Column:
-    """Text form of an average: fixed decimals (half-up), ``NA`` for NULL."""
-    v = _col(value)
-    return F.when(v.isNull(), F.lit("NA")).otherwise(F.format_string(f"%.{decimals}f", v))
+def in_calendar(ts: Column | str) -> Column:
+    """Whether a Unix-seconds value lies in the years 1 to 9999."""
+    return _col(ts).between(MIN_EPOCH, MAX_EPOCH)

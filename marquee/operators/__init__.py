@@ -1,40 +1 @@
 """Relational building blocks shared by the report plans."""
-
-from marquee.operators.aggregate import (
-    avg_count,
-    conditional_stats,
-    count_distinct_by,
-    count_non_null,
-    merge_sum_count,
-    sum_count,
-)
-from marquee.operators.join import (
-    anti_join,
-    bounded_broadcast,
-    left_outer,
-    lookup_with_fallback,
-    word_list_frame,
-)
-from marquee.operators.reshape import explode_list, explode_tokens, nested_group, unnest_group
-from marquee.operators.topk import top_k_per_group, top_one, with_order_rank
-
-__all__ = [
-    "anti_join",
-    "avg_count",
-    "bounded_broadcast",
-    "conditional_stats",
-    "count_distinct_by",
-    "count_non_null",
-    "explode_list",
-    "explode_tokens",
-    "left_outer",
-    "lookup_with_fallback",
-    "merge_sum_count",
-    "nested_group",
-    "sum_count",
-    "top_k_per_group",
-    "top_one",
-    "unnest_group",
-    "with_order_rank",
-    "word_list_frame",
-]

@@ -20,11 +20,8 @@ def avg_count(
     avg_name: str = "avg_rating",
     n_name: str = "n",
 ) -> DataFrame:
-    """Average and number of rows per key (an empty group cannot occur here)."""
-    return df.groupBy(*keys).agg(
-        F.avg(value).alias(avg_name),
-        F.count(F.lit(1)).alias(n_name),
-    )
+    """Average and number of non-NULL values per key."""
+    return df.groupBy(*keys).agg(F.avg(value).alias(avg_name), F.count(value).alias(n_name))
 
 
 def sum_count(
@@ -34,10 +31,10 @@ def sum_count(
     sum_name: str = "rating_sum",
     n_name: str = "rating_n",
 ) -> DataFrame:
-    """Mergeable (sum, count) per key, for pre-aggregating before a join."""
+    """Mergeable (sum, count of non-NULL values) per key, for pre-aggregating before a join."""
     return df.groupBy(*keys).agg(
         F.sum(value).alias(sum_name),
-        F.count(F.lit(1)).alias(n_name),
+        F.count(value).alias(n_name),
     )
 
 
@@ -51,7 +48,7 @@ def merge_sum_count(
 ) -> DataFrame:
     """Combine partial (sum, count) rows into (average, count) per key."""
     return df.groupBy(*keys).agg(
-        (F.sum(sum_col) / F.sum(n_col)).alias(avg_name),
+        F.try_divide(F.sum(sum_col), F.sum(n_col)).alias(avg_name),
         F.sum(n_col).alias(n_name),
     )
 
@@ -82,7 +79,39 @@ def conditional_stats(
         if missing_avg is not None:
             avg = F.coalesce(avg, F.lit(float(missing_avg)))
         aggs.append(avg.alias(f"{prefix}_avg"))
-        aggs.append(F.count(F.when(match, F.lit(1))).alias(f"{prefix}_n"))
+        aggs.append(F.count(F.when(match, F.col(value))).alias(f"{prefix}_n"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def conditional_sums(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    category: str | Column,
+    categories: Sequence[tuple[str, str]],
+    value: str = "rating",
+    ignore_case: bool = False,
+) -> DataFrame:
+    """Mergeable form of :func:`conditional_stats`: ``<prefix>_sum`` and ``<prefix>_n`` per key."""
+    cat = F.col(category) if isinstance(category, str) else category
+    if ignore_case:
+        cat = F.upper(cat)
+    aggs = []
+    for cat_value, prefix in categories:
+        picked = F.when(cat == F.lit(cat_value.upper() if ignore_case else cat_value), F.col(value))
+        aggs += [F.sum(picked).alias(f"{prefix}_sum"), F.count(picked).alias(f"{prefix}_n")]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def merge_conditional(
+    df: DataFrame, keys: Sequence[str | Column], prefixes: Sequence[str], missing_avg: float | None = None
+) -> DataFrame:
+    """Combines :func:`conditional_sums` rows into ``<prefix>_avg`` and ``<prefix>_n`` per key."""
+    aggs = []
+    for p in prefixes:
+        avg = F.try_divide(F.sum(f"{p}_sum"), F.sum(f"{p}_n"))
+        if missing_avg is not None:
+            avg = F.coalesce(avg, F.lit(float(missing_avg)))
+        aggs += [avg.alias(f"{p}_avg"), F.sum(f"{p}_n").alias(f"{p}_n")]
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -1,33 +1,37 @@
 """Join shapes used by the reports.
 
-No broadcast hints on tables that grow with the data: Spark's size
-statistics (``spark.sql.autoBroadcastJoinThreshold``) and AQE's runtime sizes
-decide between broadcast and shuffle joins, and AQE splits skewed join
-partitions. ``bounded_broadcast`` is only for frames built from a fixed,
-length-checked local list.
+No broadcast hints: Spark's size statistics
+(``spark.sql.autoBroadcastJoinThreshold``) and AQE's runtime sizes decide
+between broadcast and shuffle joins, and AQE splits skewed join partitions.
+Where a fact key may hold a large share of all rows, ``salted_join`` splits
+it explicitly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest local list that is hinted for broadcast; anything longer is left
-# to the planner's size check.
-MAX_BROADCAST_LIST = 100_000
+SALTS = 16
 
 
-def bounded_broadcast(df: DataFrame, known_rows: int) -> DataFrame:
-    """Hint a broadcast only for a frame whose row count is known and bounded."""
-    return F.broadcast(df) if known_rows <= MAX_BROADCAST_LIST else df
+def word_list_frame(spark: SparkSession, words: Sequence[str], column: str = "word") -> DataFrame:
+    """A one-column frame from a local word list (duplicates kept).
 
+    Made from Arrow, it is a local relation, so the planner knows its size.
+    """
+    return spark.createDataFrame(pa.table({column: pa.array(words, pa.string())}))
 
-def word_list_frame(spark: SparkSession, words: Sequence[str], column: str = "word") -> DataFrame:
-    """A one-column frame from a local word list (duplicates kept), broadcast-hinted."""
-    df = spark.createDataFrame([(w,) for w in words], f"{column} string")
-    return bounded_broadcast(df, len(words))
+
+def one_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """``dim`` as (key, value) with one row per key: the largest value in text order.
+
+    A frame has no "last line", so a repeated key is settled by this order.
+    """
+    return dim.groupBy(key).agg(F.max(value).alias(value))
 
 
 def lookup_with_fallback(
@@ -37,9 +41,13 @@ def lookup_with_fallback(
     value: str,
     out: str | None = None,
 ) -> DataFrame:
-    """Left lookup of ``dim.value`` by ``key``; a missing entry falls back to the key."""
+    """Left lookup of ``dim.value`` by ``key``; a missing entry falls back to the key.
+
+    A key listed more than once is looked up as in :func:`one_per_key`, so
+    ``facts`` never multiply.
+    """
     out = out or value
-    d = dim.select(F.col(key), F.col(value).alias("__lookup"))
+    d = one_per_key(dim, key, value).select(F.col(key), F.col(value).alias("__lookup"))
     return (
         facts.join(d, key, "left")
         .withColumn(out, F.coalesce(F.col("__lookup"), F.col(key).cast("string")))
@@ -47,6 +55,19 @@ def lookup_with_fallback(
     )
 
 
+def salted_join(facts: DataFrame, dim: DataFrame, key: str, salt_by: str | Column, salts: int = SALTS) -> DataFrame:
+    """Inner join in which every fact key is dealt over ``salts`` join partitions.
+
+    The rows of one key are split by a hash of ``salt_by``; the dimension is
+    repeated once per salt. A key with a third of all facts then fills
+    ``salts`` tasks instead of one.
+    """
+    spread_by = F.col(salt_by) if isinstance(salt_by, str) else salt_by
+    left = facts.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    right = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "__salt"]).drop("__salt")
+
+
 def anti_join(df: DataFrame, exclude: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is not in ``exclude``.
 

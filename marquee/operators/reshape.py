@@ -1,4 +1,4 @@
-"""Explode, and nested (bag) grouping in bounded form."""
+"""Explode, and the nested bag of the first k rows per key."""
 
 from __future__ import annotations
 
@@ -37,7 +37,7 @@ def explode_tokens(
     return pieces.where(F.col(out_col) != F.lit(""))
 
 
-def nested_group(
+def top_k_bag(
     df: DataFrame,
     keys: Sequence[str],
     order_cols: Sequence[Column],
@@ -45,7 +45,7 @@ def nested_group(
     fields: Sequence[str],
     bag_col: str = "bag",
 ) -> DataFrame:
-    """Group rows into an ordered, size-limited bag per key.
+    """The first ``limit`` rows per key as one ordered bag.
 
     The limit comes first (a partial limit runs before the exchange), so a
     bag never holds more than ``limit`` entries however large the group is.

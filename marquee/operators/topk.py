@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import materialized
+
 
 def top_k_per_group(
     df: DataFrame,
@@ -49,19 +51,11 @@ def with_order_rank(df: DataFrame, order_cols: Sequence[Column], rank_col: str =
     ``row_number`` over an un-partitioned window would move every row into a
     single task. Instead the frame is range-partitioned by the sort and
     tagged with ``monotonically_increasing_id`` (partition index in the high
-    bits, position in the low bits), then checkpointed to the shared
-    checkpoint folder so partition numbers cannot change between the two
-    uses below. Per-partition row counts (one row per partition) give each
+    bits, position in the low bits), then written to the shared scratch
+    folder, so partition numbers cannot change between the two uses below. Per-partition row counts (one row per partition) give each
     partition's offset; the rank is offset + position + 1.
     """
-    from marquee.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    tagged = (
-        df.orderBy(*order_cols)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    tagged = materialized(df.orderBy(*order_cols).withColumn("__mid", F.monotonically_increasing_id()), "ranked")
     low_bits = (1 << 33) - 1
     tagged = tagged.withColumn("__part", F.shiftright("__mid", 33)).withColumn(
         "__pos", F.col("__mid").bitwiseAND(F.lit(low_bits))

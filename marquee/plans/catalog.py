@@ -35,6 +35,9 @@ def _report_queries() -> dict[str, Query]:
         "movie_age_group_stats": lambda s, d: R.movie_age_group_stats(
             T.ratings(s, d, with_user=True), T.users(s, d), T.movies(s, d)
         ),
+        "movie_age_group_stats_title": lambda s, d: R.movie_age_group_stats_title(
+            T.ratings(s, d, with_user=True), T.users(s, d), T.movies(s, d)
+        ),
         "occupation_rating_stats": lambda s, d: R.occupation_rating_stats(
             T.ratings(s, d, with_user=True), T.users(s, d), T.occupations(s, d)
         ),

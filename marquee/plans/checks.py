@@ -9,14 +9,14 @@ below the session's checkpoint folder, never to a machine-local path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.scalar import age_group, is_header, strip_ws
 from marquee.functions.text import clean_text, lower_trim, tokenize
 from marquee.operators.aggregate import avg_count, count_non_null
 from marquee.operators.join import anti_join, left_outer, lookup_with_fallback
-from marquee.operators.reshape import explode_list, explode_tokens, nested_group, unnest_group
+from marquee.operators.reshape import explode_list, explode_tokens, top_k_bag, unnest_group
 from marquee.operators.topk import top_one, with_order_rank
 from marquee.plans import ratings as R
 from marquee.plans import reviews as V
@@ -87,13 +87,57 @@ def ingest_movies(spark: SparkSession, d: str) -> DataFrame:
 
 def ingest_quoted(spark: SparkSession, d: str) -> DataFrame:
     part = T.table(spark, d, "part")
-    quoted_title = F.concat(F.lit('"'), F.col("p_name"), F.lit(', ""'), F.col("p_brand"), F.lit('"""'))
+    quoted_title = F.when(
+        F.col("p_size") % 2 == 0, F.concat(F.lit('"'), F.col("p_name"), F.lit(', ""'), F.col("p_brand"), F.lit('"""'))
+    ).otherwise(F.concat(F.lit('The 5" '), F.col("p_name"), F.lit(', "'), F.col("p_brand")))
     line = F.concat_ws(",", F.col("p_partkey").cast("string"), quoted_title, F.regexp_replace("p_name", " ", "|"))
     lines = part.select(line.alias("value")).unionByName(_noise(spark, MOVIE_NOISE))
     rows = REC.ingest_movies(lines, quoted=True).rows
     return rows.select("movie_id", "title", F.array_join("genres", "|").alias("genres"))
 
 
+def ingest_movies_second_field(spark: SparkSession, d: str) -> DataFrame:
+    """Titles as the second field only: what follows a comma in the title is cut."""
+    lines = _movie_lines(spark, d).unionByName(_noise(spark, MOVIE_NOISE))
+    return REC.ingest_movies(lines, title_mode="second_field").rows.select("movie_id", "title")
+
+
+def ingest_ratings_three_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings that need no timestamp: lines without one, or with a bad one, stay."""
+    li = T.table(spark, d, "lineitem")
+    fields = [F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), F.col("l_quantity").cast("string")]
+    line = F.when(F.col("l_tax") == 0, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, F.lit("x")))
+    lines = li.select(line.alias("value")).unionByName(_noise(spark, RATING_NOISE))
+    return REC.ingest_ratings(lines, min_fields=3).rows.select("user_id", "movie_id", "rating")
+
+
+def ingest_user_genders(spark: SparkSession, d: str) -> DataFrame:
+    """Id-to-gender lookup: two fields are enough, and a bad age rejects nothing."""
+    c = T.table(spark, d, "customer")
+    key, gender = F.col("c_custkey").cast("string"), F.substring("c_mktsegment", 1, 1)
+    age = F.when(F.col("c_nationkey") % 3 == 0, F.lit("xx")).otherwise(F.floor(F.col("c_acctbal") / 100).cast("string"))
+    line = F.when(F.col("c_nationkey") % 2 == 0, F.concat_ws(",", key, gender)).otherwise(F.concat_ws(",", key, gender, age))
+    lines = c.select(line.alias("value")).unionByName(_noise(spark, USER_NOISE))
+    return REC.ingest_users(lines, min_fields=2).rows.select("user_id", "gender", "age")
+
+
+def ingest_reviews_comma(spark: SparkSession, d: str) -> DataFrame:
+    """The 4-column, comma-separated review file without ids, parsed line by line."""
+    reviews = T.reviews(spark, d)
+    text = F.regexp_replace(F.col("review"), "[,\r\n]", " ")
+    line = F.concat_ws(",", text, "topic", "aspect", F.coalesce("sentiment", F.lit("")))
+    path = _write_lines(reviews.select(line.alias("value")), spark, "reviews_comma")
+    return RV.read_reviews(spark, path, sep=",", schema=RV.REVIEW_SCHEMA_NO_ID)
+
+
+def movie_lines_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """The MapReduce report lines (one decimal) numbered in order of the movie id as text."""
+    stats = R.movie_rating_stats(T.ratings(spark, d), T.movies(spark, d), ordered=False)
+    ranked = with_order_rank(stats, [F.asc("movie_id")])
+    line = TR.mr_movie_line()
+    return ranked.select("rank", line.alias("line"))
+
+
 def ingest_ratings(spark: SparkSession, d: str) -> DataFrame:
     lines = _rating_lines(spark, d).select("value").unionByName(_noise(spark, RATING_NOISE))
     return REC.ingest_ratings(lines).rows
@@ -174,12 +218,16 @@ def stream_ingest_ratings(spark: SparkSession, d: str) -> DataFrame:
     return read_ingested(spark, out).select("user_id", "movie_id", "rating", "ts")
 
 
+def _reason_counts(ingested: REC.Ingested) -> DataFrame:
+    """Lines per reject reason, accepted ones as ``ok``, in one pass over the input."""
+    reason = F.coalesce("reason", F.lit("ok")).alias("reason")
+    return ingested.tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
+
+
 def op_skip_header(spark: SparkSession, d: str) -> DataFrame:
     """Reject reasons of movie lines: headers (any case, any position), blanks, blank fields."""
     lines = _movie_lines(spark, d).unionByName(_noise(spark, MOVIE_NOISE))
-    rej = REC.ingest_movies(lines)
-    ok = rej.rows.select(F.lit("ok").alias("reason"))
-    return ok.unionByName(rej.rejects.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return _reason_counts(REC.ingest_movies(lines))
 
 
 def op_drop_malformed(spark: SparkSession, d: str) -> DataFrame:
@@ -193,26 +241,32 @@ def op_drop_malformed(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), rating),
     ).otherwise(F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), rating, ts))
     lines = li.select(fields.alias("value")).unionByName(_noise(spark, RATING_NOISE))
-    res = REC.ingest_ratings(lines)
-    ok = res.rows.select(F.lit("ok").alias("reason"))
-    return ok.unionByName(res.rejects.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return _reason_counts(REC.ingest_ratings(lines))
 
 
 # ---------------------------------------------------------------- sinks
 
 
+def _sink_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Parts whose titles hold both separators and a quote, with empty and NULL fields."""
+    part = T.table(spark, d, "part")
+    title = F.concat("p_name", F.lit(", \"the\"\t"), "p_type")
+    empty = F.when(F.col("p_size") % 2 == 0, F.lit("")).otherwise(F.col("p_type"))
+    return part.select("p_partkey", title.alias("title"), F.expr("nullif(p_brand, 'Brand#11')").alias("brand"), empty.alias("type"), "p_size")
+
+
 def sink_tsv(spark: SparkSession, d: str) -> DataFrame:
-    report = R.genre_rating_stats(T.ratings(spark, d), T.movies(spark, d))
-    path = scratch_path(spark, "genre_tsv")
-    SK.write_delimited(report, path, sep="\t")
-    return SK.read_delimited(spark, path, "genre string, avg_rating double, n bigint", sep="\t")
+    """Parts as tab-separated lines, read back as they are."""
+    path = scratch_path(spark, "parts_tsv")
+    SK.write_delimited(_sink_rows(spark, d), path, sep="\t", null_value="NULL")
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def sink_csv(spark: SparkSession, d: str) -> DataFrame:
-    report = V.topic_top_words(T.reviews(spark, d, with_sentiment=False))
-    path = scratch_path(spark, "top_words_csv")
-    SK.write_delimited(report, path, sep=",")
-    return SK.read_delimited(spark, path, "topic string, word string, freq bigint", sep=",")
+    """Parts as comma-separated lines, read back as they are."""
+    path = scratch_path(spark, "parts_csv")
+    SK.write_delimited(_sink_rows(spark, d), path, sep=",")
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def sink_overwrite(spark: SparkSession, d: str) -> DataFrame:
@@ -266,12 +320,14 @@ def op_broadcast_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op_left_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Per-part statistics with titles from the parts of size at most 25; others fall back to the id."""
+    """Per-part statistics with titles from the parts of size at most 25; others fall back to the id.
+
+    Parts of size at most 10 are listed under two titles; the larger one counts."""
     stats = avg_count(T.ratings(spark, d), ["movie_id"])
-    titles = T.movies(spark, d).join(
-        T.table(spark, d, "part").where(F.col("p_size") <= 25).select(F.col("p_partkey").cast("string").alias("movie_id")),
-        "movie_id",
-        "left_semi",
+    listed = T.table(spark, d, "part").where(F.col("p_size") <= 25)
+    key = F.col("p_partkey").cast("string").alias("movie_id")
+    titles = listed.select(key, F.col("p_name").alias("title")).unionAll(
+        listed.where(F.col("p_size") <= 10).select(key, F.concat(F.lit("the "), "p_name").alias("title"))
     )
     return lookup_with_fallback(stats, titles, "movie_id", "title").select("movie_id", "title", "avg_rating", "n")
 
@@ -309,7 +365,7 @@ def op_group_multi_key(spark: SparkSession, d: str) -> DataFrame:
 def op_nested_group(spark: SparkSession, d: str) -> DataFrame:
     """Per market segment a bag of the 3 richest customers, flattened again."""
     c = T.table(spark, d, "customer")
-    bags = nested_group(
+    bags = top_k_bag(
         c, ["c_mktsegment"], [F.desc("c_acctbal"), F.asc("c_custkey")], 3, ["c_custkey", "c_acctbal"]
     )
     return unnest_group(bags, ["c_mktsegment"])
@@ -372,7 +428,8 @@ def op_top_k(spark: SparkSession, d: str) -> DataFrame:
     """The 10 best-rated parts (average, then count, then id), numbered."""
     stats = avg_count(T.ratings(spark, d), ["movie_id"])
     order = [F.desc("avg_rating"), F.desc("n"), F.asc("movie_id")]
-    return with_order_rank(stats.orderBy(*order).limit(10), order)
+    ten = stats.orderBy(*order).limit(10)
+    return ten.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint"))
 
 
 def op_top_one(spark: SparkSession, d: str) -> DataFrame:
@@ -407,7 +464,8 @@ def op_header_test(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     fns = [
         scan_lines, union_ratings, ingest_movies, ingest_quoted, ingest_ratings, ingest_users,
-        ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
+        ingest_movies_second_field, ingest_ratings_three_fields, ingest_user_genders, ingest_reviews_comma,
+        movie_lines_by_id, ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
         sink_tsv, sink_csv, sink_overwrite, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
         op_inner_join, op_broadcast_join, op_left_lookup, op_left_outer, op_left_anti, op_group_count,
         op_group_multi_key, op_nested_group, op_distinct, op_pivot, op_explode_list, op_tokenize,

@@ -131,6 +131,13 @@ SELECT s.movie_id, coalesce(mv.title, s.movie_id) AS title,
        age_0_18_avg, age_0_18_n, age_18_35_avg, age_18_35_n,
        age_35_50_avg, age_35_50_n, age_50_plus_avg, age_50_plus_n
 FROM s LEFT JOIN movies mv ON s.movie_id = mv.movie_id""",
+        "movie_age_group_stats_title": f"""WITH {RATINGS_WITH_USER}, {USERS}, {MOVIES},
+j AS (SELECT mv.title, r.rating, {AGE_BUCKET} AS bucket
+      FROM ratings r JOIN users u ON r.user_id = u.user_id JOIN movies mv ON r.movie_id = mv.movie_id),
+s AS (SELECT title, {_cond('bucket', '0-18', 'age_0_18')}, {_cond('bucket', '18-35', 'age_18_35')},
+             {_cond('bucket', '35-50', 'age_35_50')}, {_cond('bucket', '50+', 'age_50_plus')}
+      FROM j GROUP BY title)
+SELECT title, age_0_18_avg, age_18_35_avg, age_35_50_avg, age_50_plus_avg FROM s""",
         "occupation_rating_stats": f"""WITH {RATINGS_WITH_USER}, {USERS}, {OCCUPATIONS}
 SELECT o.occupation_name, avg(r.rating) AS avg_rating, count(*) AS n
 FROM ratings r JOIN users u ON r.user_id = u.user_id JOIN occupations o ON u.occupation_id = o.occupation_id
@@ -192,8 +199,23 @@ def _check_sql() -> dict[str, str]:
         "stream_ingest_ratings": RATING_ROWS,
         "ingest_movies": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', ' || p_brand AS title,
        array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), '|') AS genres FROM part""",
-        "ingest_quoted": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name || ', "' || p_brand || '"' AS title,
+        "ingest_quoted": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id,
+       CASE WHEN p_size % 2 = 0 THEN p_name || ', "' || p_brand || '"' ELSE 'The 5" ' || p_name || ', "' || p_brand END AS title,
        array_to_string(list_filter(string_split(p_name, ' '), lambda x: x <> ''), '|') AS genres FROM part""",
+        "ingest_movies_second_field": """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS title FROM part""",
+        "ingest_ratings_three_fields": """SELECT CAST(l_orderkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
+       l_quantity AS rating FROM lineitem
+UNION ALL SELECT '1', '2', 3.0 UNION ALL SELECT '1', '2', 4.0 UNION ALL SELECT '1', '2', 4.0""",
+        "ingest_user_genders": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, substr(c_mktsegment, 1, 1) AS gender,
+       CASE WHEN c_nationkey % 2 <> 0 AND c_nationkey % 3 <> 0 THEN CAST(floor(c_acctbal / 100) AS INTEGER) END AS age
+FROM customer
+UNION ALL SELECT '5', 'F', NULL UNION ALL SELECT '6', 'M', 30""",
+        "ingest_reviews_comma": f"""WITH {REVIEWS}
+SELECT regexp_replace(review, '[,\r\n]', ' ', 'g') AS review, topic, aspect, sentiment FROM reviews""",
+        "movie_lines_by_id": f"""WITH {RATINGS}, {MOVIES}, {MOVIE_STATS}
+SELECT row_number() OVER (ORDER BY movie_id) AS rank,
+       title || chr(9) || 'Average rating: ' || printf('%.1f', CAST(round(CAST(CAST(avg_rating AS VARCHAR) AS DECIMAL(28, 12)), 1) AS DOUBLE))
+       || ' (Total ratings: ' || n || ')' AS line FROM titled""",
         "ingest_users": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, substr(c_mktsegment, 1, 1) AS gender,
        CAST(floor(c_acctbal / 100) AS INTEGER) AS age, CAST(c_nationkey AS VARCHAR) AS occupation_id,
        c_name AS zip_code FROM customer""",
@@ -215,8 +237,21 @@ UNION ALL SELECT reason, CAST(n AS BIGINT) AS n FROM (VALUES ('header', 2), ('bl
   UNION ALL SELECT * FROM (VALUES ('header'), ('header'), ('blank'), ('blank'), ('too_few_fields'),
     ('bad_number'), ('bad_number'), ('bad_number')) t(reason))
 SELECT reason, count(*) AS n FROM c GROUP BY reason""",
-        "sink_tsv": reports["genre_rating_stats"],
-        "sink_csv": reports["topic_top_words"],
+        "sink_tsv": """SELECT concat_ws(chr(9), CAST(p_partkey AS VARCHAR), p_name || ', "the"' || chr(9) || p_type,
+       coalesce(nullif(p_brand, 'Brand#11'), 'NULL'), CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END,
+       CAST(p_size AS VARCHAR)) AS line FROM part""",
+        "sink_csv": """SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), p_name || ', "the"' || chr(9) || p_type,
+       coalesce(nullif(p_brand, 'Brand#11'), ''), CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END,
+       CAST(p_size AS VARCHAR)) AS line FROM part""",
+        "op_format_avg": f"""WITH {RATINGS}, {MOVIES}, {MOVIE_STATS},
+best AS (SELECT title, avg_rating, n FROM titled WHERE n >= 5
+         ORDER BY avg_rating DESC, n DESC, title ASC, movie_id ASC LIMIT 1)
+SELECT title || chr(9) || 'Average Rating: ' || printf('%.2f', avg_rating) || chr(9) || 'Total Ratings: ' || n AS line FROM titled
+UNION ALL
+SELECT '>>> TOP RATED >>>' || chr(9) || CASE WHEN b.n IS NULL THEN 'No movie has at least 5 ratings.'
+       ELSE b.title || ' is the highest rated movie with an average rating of ' || printf('%.2f', b.avg_rating)
+            || ' among movies with at least 5 ratings (Total Ratings: ' || b.n || ').' END
+FROM (SELECT 1 AS one) x LEFT JOIN best b ON TRUE""",
         "sink_overwrite": reports["occupation_rating_stats"],
         "op_filter_ne": """SELECT p_partkey, nullif(p_brand, 'Brand#11') AS brand FROM part
 WHERE nullif(p_brand, 'Brand#11') <> 'Brand#12'""",
@@ -229,7 +264,9 @@ WHERE p_size <= 25""",
         "op_broadcast_join": """SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""",
         "op_left_lookup": f"""WITH {RATINGS},
 stats AS (SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n FROM ratings GROUP BY movie_id),
-mv AS (SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS title FROM part WHERE p_size <= 25)
+mv AS (SELECT CAST(p_partkey AS VARCHAR) AS movie_id,
+              CASE WHEN p_size <= 10 THEN greatest(p_name, 'the ' || p_name) ELSE p_name END AS title
+       FROM part WHERE p_size <= 25)
 SELECT s.movie_id, coalesce(mv.title, s.movie_id) AS title, s.avg_rating, s.n
 FROM stats s LEFT JOIN mv ON s.movie_id = mv.movie_id""",
         "op_left_outer": f"""WITH {REVIEWS_PLAIN}, {STOPWORDS}, {DOC_TOKENS}

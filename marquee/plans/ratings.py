@@ -11,6 +11,9 @@ Plan shape, for data far larger than memory:
 
 * aggregate first, look titles up afterwards (the lookup then joins one row
   per movie, not one row per rating);
+* raw ratings meet users in a salted join, so a user or movie with a large
+  share of them never fills one task, and are reduced to (sum, count) per
+  movie right after it, before titles come in;
 * where a dimension is only needed for grouping (genres, occupations), the
   ratings are pre-aggregated to (sum, count) per join key before the join,
   so the join input is bounded by the number of movies or users and a hot key
@@ -30,8 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.scalar import AGE_GROUPS, age_group, epoch_year
-from marquee.operators.aggregate import avg_count, conditional_stats, merge_sum_count, sum_count
-from marquee.operators.join import lookup_with_fallback
+from marquee.operators.aggregate import (
+    avg_count,
+    conditional_stats,
+    conditional_sums,
+    merge_conditional,
+    merge_sum_count,
+    sum_count,
+)
+from marquee.operators.join import lookup_with_fallback, one_per_key, salted_join
 from marquee.operators.topk import top_one
 
 # Gender codes and their column prefixes, in report order.
@@ -42,7 +52,14 @@ DEFAULT_MIN_RATINGS = 5
 
 
 def _titles(movies: DataFrame) -> DataFrame:
-    return movies.select("movie_id", "title")
+    """(movie_id, title), one row per movie (see :func:`one_per_key`)."""
+    return one_per_key(movies, "movie_id", "title")
+
+
+def _with_users(ratings: DataFrame, users: DataFrame, field: str) -> DataFrame:
+    """Ratings with one user field; a user with very many ratings is split by movie."""
+    slim = ratings.select("user_id", "movie_id", "rating")
+    return salted_join(slim, users.select("user_id", field), "user_id", "movie_id")
 
 
 def movie_rating_stats(
@@ -54,7 +71,7 @@ def movie_rating_stats(
     movie id as text (the MapReduce form of the report).
     """
     stats = avg_count(ratings, ["movie_id"])
-    out = lookup_with_fallback(stats, _titles(movies), "movie_id", "title").select(
+    out = lookup_with_fallback(stats, movies, "movie_id", "title").select(
         "movie_id", "title", "avg_rating", "n"
     )
     if not ordered:
@@ -66,7 +83,7 @@ def movie_rating_stats(
 
 def _qualified(ratings: DataFrame, movies: DataFrame, min_ratings: int) -> DataFrame:
     stats = avg_count(ratings, ["movie_id"]).where(F.col("n") >= F.lit(min_ratings))
-    return lookup_with_fallback(stats, _titles(movies), "movie_id", "title")
+    return lookup_with_fallback(stats, movies, "movie_id", "title")
 
 
 def top_rated_movie(ratings: DataFrame, movies: DataFrame, min_ratings: int = DEFAULT_MIN_RATINGS) -> DataFrame:
@@ -102,7 +119,7 @@ def movie_rating_report(
     ``min_by`` (one partial row per task), so it exists even for empty input
     without any driver-side decision.
     """
-    stats = lookup_with_fallback(avg_count(ratings, ["movie_id"]), _titles(movies), "movie_id", "title")
+    stats = lookup_with_fallback(avg_count(ratings, ["movie_id"]), movies, "movie_id", "title")
     detail = stats.select(F.lit("detail").alias("row_kind"), "title", "avg_rating", "n")
     ranked_by = F.struct(
         (-F.col("avg_rating")).alias("a"), (-F.col("n")).alias("c"), F.col("title"), F.col("movie_id")
@@ -146,10 +163,10 @@ def movie_gender_stats(
     other codes still get a row. Ratings of unknown users are dropped; unknown
     movies are kept under their id.
     """
-    joined = ratings.join(users.select("user_id", "gender"), "user_id")
+    joined = _with_users(ratings, users, "gender")
     stats = conditional_stats(joined, ["movie_id"], "gender", genders)
     cols = [c for _, p in genders for c in (f"{p}_avg", f"{p}_n")]
-    out = lookup_with_fallback(stats, _titles(movies), "movie_id", "title").select(
+    out = lookup_with_fallback(stats, movies, "movie_id", "title").select(
         "movie_id", "title", *cols
     )
     return out.orderBy("title", "movie_id") if ordered else out
@@ -164,9 +181,11 @@ def movie_gender_stats_zero(
 ) -> DataFrame:
     """MapReduce form: keyed by title (equal titles merge), unknown movies and
     users dropped, gender code compared ignoring case, empty cell = 0.0."""
-    joined = ratings.join(users.select("user_id", "gender"), "user_id").join(_titles(movies), "movie_id")
-    stats = conditional_stats(joined, ["title"], "gender", genders, missing_avg=0.0, ignore_case=True)
-    out = stats.select("title", *[f"{p}_avg" for _, p in genders])
+    joined = _with_users(ratings, users, "gender")
+    per_movie = conditional_sums(joined, ["movie_id"], "gender", genders, ignore_case=True)
+    prefixes = [p for _, p in genders]
+    stats = merge_conditional(per_movie.join(_titles(movies), "movie_id"), ["title"], prefixes, missing_avg=0.0)
+    out = stats.select("title", *[f"{p}_avg" for p in prefixes])
     return out.orderBy("title") if ordered else out
 
 
@@ -174,18 +193,29 @@ def movie_age_group_stats(
     ratings: DataFrame, users: DataFrame, movies: DataFrame, ordered: bool = True
 ) -> DataFrame:
     """Per movie: average and count in each age bucket (avg NULL, n 0 when empty)."""
-    joined = ratings.join(users.select("user_id", "age"), "user_id").withColumn(
-        "age_group", age_group("age")
-    )
+    joined = _with_users(ratings, users, "age").withColumn("age_group", age_group("age"))
     buckets = list(zip(AGE_GROUPS, AGE_GROUP_PREFIXES))
     stats = conditional_stats(joined, ["movie_id"], "age_group", buckets)
     cols = [c for p in AGE_GROUP_PREFIXES for c in (f"{p}_avg", f"{p}_n")]
-    out = lookup_with_fallback(stats, _titles(movies), "movie_id", "title").select(
+    out = lookup_with_fallback(stats, movies, "movie_id", "title").select(
         "movie_id", "title", *cols
     )
     return out.orderBy("title", "movie_id") if ordered else out
 
 
+def movie_age_group_stats_title(
+    ratings: DataFrame, users: DataFrame, movies: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """MapReduce form: keyed by title (equal titles merge), unknown movies and
+    users dropped; a bucket without ratings has avg NULL."""
+    joined = _with_users(ratings, users, "age").withColumn("age_group", age_group("age"))
+    buckets = list(zip(AGE_GROUPS, AGE_GROUP_PREFIXES))
+    per_movie = conditional_sums(joined, ["movie_id"], "age_group", buckets)
+    stats = merge_conditional(per_movie.join(_titles(movies), "movie_id"), ["title"], AGE_GROUP_PREFIXES)
+    out = stats.select("title", *[f"{p}_avg" for p in AGE_GROUP_PREFIXES])
+    return out.orderBy("title") if ordered else out
+
+
 def occupation_rating_stats(
     ratings: DataFrame, users: DataFrame, occupations: DataFrame, ordered: bool = True
 ) -> DataFrame:

@@ -9,9 +9,8 @@ Scale notes: tokens are produced with ``explode`` inside the scan stage;
 every count is a partial + final aggregate, so a word or topic holding a
 large share of all tokens reaches the exchange as one row per task. Top-k
 per group gets a partial ``WindowGroupLimit`` before its exchange, so a topic
-with a huge vocabulary sends at most k rows per task. The stopword list is
-only broadcast when it is a bounded local list; a file-based list is left to
-the planner's size check.
+with a huge vocabulary sends at most k rows per task. Whether the stopword
+list is broadcast is left to the planner's size check.
 """
 
 from __future__ import annotations
@@ -99,11 +98,14 @@ def sentiment_extreme_aspects(reviews: DataFrame) -> DataFrame:
 
 
 def topic_sentiment_top_words(
-    reviews: DataFrame, k: int = DEFAULT_TOP_K, delimiters: str = TOKEN_DELIMITERS
+    reviews: DataFrame,
+    k: int = DEFAULT_TOP_K,
+    delimiters: str = TOKEN_DELIMITERS,
+    stopwords: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k words per (topic, sentiment) for positive and negative reviews.
 
-    No cleaning and no stopword removal. Rows with id 0 or NULL, and header
+    No cleaning; stopwords are removed, from the counts, only if given. Rows with id 0 or NULL, and header
     rows, are dropped. Ties on frequency go to the smaller word.
     """
     rows = (
@@ -112,6 +114,8 @@ def topic_sentiment_top_words(
     )
     tokens = explode_tokens(rows, F.lower(F.col("review")), ["topic", "sentiment"], delimiters=delimiters)
     counts = count_non_null(tokens, ["topic", "sentiment", "word"], "topic", "freq")
+    if stopwords is not None:
+        counts = anti_join(counts, stopwords, "word")
     top = top_k_per_group(counts, ["topic", "sentiment"], [F.desc("freq"), F.asc("word")], k)
     return top.select("sentiment", "topic", "word", "freq").orderBy(
         F.desc("sentiment"), F.asc_nulls_last("topic"), F.desc("freq"), F.asc("word")
@@ -119,11 +123,16 @@ def topic_sentiment_top_words(
 
 
 def topic_top_words(
-    reviews: DataFrame, k: int = DEFAULT_TOP_K, delimiters: str = TOKEN_DELIMITERS
+    reviews: DataFrame,
+    k: int = DEFAULT_TOP_K,
+    delimiters: str = TOKEN_DELIMITERS,
+    stopwords: DataFrame | None = None,
 ) -> DataFrame:
-    """Top-k words per topic over all non-header reviews."""
+    """Top-k words per topic over all non-header reviews, without the stopwords if given."""
     tokens = explode_tokens(_not_header(reviews), F.lower(F.col("review")), ["topic"], delimiters=delimiters)
     counts = count_non_null(tokens, ["topic", "word"], "topic", "freq")
+    if stopwords is not None:
+        counts = anti_join(counts, stopwords, "word")
     top = top_k_per_group(counts, ["topic"], [F.desc("freq"), F.asc("word")], k)
     return top.select("topic", "word", "freq").orderBy(
         F.asc_nulls_last("topic"), F.desc("freq"), F.asc("word")

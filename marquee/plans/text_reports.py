@@ -4,8 +4,9 @@ Results stay numeric everywhere else; these functions only render a
 ``line`` column. Two renderings exist because the two report families
 round differently:
 
-* ``half_even`` (default, the RDD-program reports): ``bround`` to the
-  decimals, then print. Exact binary ties go to even (4.125 -> 4.12).
+* ``half_even`` (default, the RDD-program reports): the exact binary value is
+  rounded, exact ties go to even (4.125 -> 4.12, and 2.675, which is stored
+  as a little less, -> 2.67).
 * ``half_up`` (the MapReduce reports): ``format_string`` rounds the decimal
   digits half-up (4.25 -> 4.3).
 """
@@ -36,9 +37,31 @@ MR_AGE_SEP = "  "
 NA = "NA"
 
 
+def exact_decimals(c: Column, decimals: int = 2) -> Column:
+    """``c`` with ``decimals`` digits after the point, rounded from its exact binary value, ties to even.
+
+    The fraction is taken as a whole number of 2**-60 (exact from 2**-8 up,
+    and below that too small to reach a tie), so the comparison with one half
+    is between integers. Values of 2**53 and more have no fraction.
+    """
+    size, unit = F.abs(c), 1 << 60
+    whole = F.floor(size).cast("bigint")
+    parts = ((size - F.floor(size)) * F.lit(float(unit))).cast("bigint").cast("decimal(20,0)") * F.lit(10**decimals).cast("decimal(6,0)")
+    rest = parts % F.lit(unit).cast("decimal(20,0)")
+    down = ((parts - rest) / F.lit(unit).cast("decimal(20,0)")).cast("bigint")
+    half = F.lit(unit // 2).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (down % 2 == 1))
+    digits = down + F.when(up, 1).otherwise(0)
+    front = whole + F.when(digits >= 10**decimals, 1).otherwise(0)
+    back = F.lpad((digits % 10**decimals).cast("string"), decimals, "0")
+    sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, front.cast("string"), F.lit("."), back)
+    return F.when(size < float(1 << 53), text).otherwise(F.format_string(f"%.{decimals}f", c))
+
+
 def fmt_number(c: Column, decimals: int = 2, rounding: str = "half_even") -> Column:
     if rounding == "half_even":
-        text = F.format_string(f"%.{decimals}f", F.bround(c, decimals))
+        text = exact_decimals(c, decimals)
     elif rounding == "half_up":
         text = F.format_string(f"%.{decimals}f", c)
     else:
@@ -85,9 +108,12 @@ def age_group_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("\t", F.col("title"), cells).alias("line"))
 
 
+def mr_movie_line() -> Column:
+    return F.format_string(MR_MOVIE_LINE, F.col("title"), fmt_number(F.col("avg_rating"), 1, "half_up"), F.col("n"))
+
+
 def mr_movie_lines(df: DataFrame) -> DataFrame:
-    avg = fmt_number(F.col("avg_rating"), 1, "half_up")
-    return df.select(F.format_string(MR_MOVIE_LINE, F.col("title"), avg, F.col("n")).alias("line"))
+    return df.select(mr_movie_line().alias("line"))
 
 
 def mr_genre_lines(df: DataFrame) -> DataFrame:
@@ -103,6 +129,7 @@ def mr_gender_lines(df: DataFrame) -> DataFrame:
 
 
 def mr_age_group_lines(df: DataFrame) -> DataFrame:
+    """Lines of :func:`marquee.plans.ratings.movie_age_group_stats_title`."""
     cells = [
         F.format_string(MR_AGE_CELL, F.lit(label), fmt_number(F.col(f"{p}_avg"), 2, "half_up"))
         for label, p in zip(AGE_GROUPS, AGE_GROUP_PREFIXES)

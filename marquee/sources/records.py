@@ -16,8 +16,11 @@ Rules, applied to every line:
 * a number that does not parse: ``bad_number``;
 * a required text field that is blank: ``blank_field``.
 
-Fields are split on commas. With ``quoted=True`` commas inside double
-quotes do not split, and the quotes are removed (``""`` is one quote).
+Fields are split on commas. With ``quoted=True`` a field that starts with a
+double quote may hold commas, and its quotes are removed (``""`` is one
+quote); a quote inside a field is an ordinary character. It is the default
+of the full record forms; the reduced forms (``title_mode="second_field"``,
+fewer ``min_fields``) split on every comma unless told otherwise.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.scalar import is_header, strip_ws, to_double, to_int, to_long
+from marquee.functions.scalar import in_calendar, is_header, strip_ws, to_double, to_int, to_long
 from marquee.functions.text import split_list
 
 # Header names of the first column, compared as a lower-case prefix.
@@ -36,8 +39,11 @@ RATING_HEADER = ("userid",)
 USER_HEADER = ("userid",)
 OCCUPATION_HEADER = ("id", "occupationid")
 
-# Split on commas that are followed by an even number of quotes (outside quotes).
-_QUOTED_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# One field after its comma. A quote counts only as the first character of a
+# field; there ``""`` is one quote, and what follows the closing quote belongs
+# to the field. Possessive throughout, so a line is read once, without backtracking.
+_FIELD = ',((?:"(?:[^"]++|"")*+"?+)?+[^,]*+)'
+_QUOTED = '(?s)^"((?:[^"]++|"")*+)"?+(.*+)$'
 
 
 @dataclass(frozen=True)
@@ -60,11 +66,11 @@ def _fields(line: Column, quoted: bool) -> Column:
     stripped = strip_ws(line)
     if not quoted:
         return F.split(stripped, ",")
-    parts = F.split(stripped, _QUOTED_SPLIT)
+    parts = F.regexp_extract_all(F.concat(F.lit(","), stripped), F.lit(_FIELD), 1)
 
     def unquote(x: Column) -> Column:
-        inner = F.regexp_extract(x, r'^\s*"(.*)"\s*$', 1)
-        return F.when(x.rlike(r'^\s*".*"\s*$'), F.regexp_replace(inner, '""', '"')).otherwise(x)
+        inner = F.replace(F.regexp_extract(x, _QUOTED, 1), F.lit('""'), F.lit('"'))
+        return F.when(x.startswith('"'), F.concat(inner, F.regexp_extract(x, _QUOTED, 2))).otherwise(x)
 
     return F.transform(parts, unquote)
 
@@ -85,7 +91,7 @@ def _base_reason(line: Column, headers: tuple[str, ...], n: Column, min_fields:
     )
 
 
-def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool = False) -> Ingested:
+def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool | None = None) -> Ingested:
     """``id, title, genres``: at least 3 fields; genres is the last field split on ``|``.
 
     ``title_mode="rejoin"``: the title is every field between the first and
@@ -94,7 +100,7 @@ def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool = F
     with commas are cut). Blank genres are dropped, repeats kept. A blank id
     or title rejects the line.
     """
-    f = _fields(F.col("value"), quoted)
+    f = _fields(F.col("value"), title_mode == "rejoin" if quoted is None else quoted)
     n = F.size(f)
     movie_id = strip_ws(F.get(f, 0))
     if title_mode == "rejoin":
@@ -112,19 +118,19 @@ def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool = F
     )
 
 
-def ingest_ratings(lines: DataFrame, min_fields: int = 4, quoted: bool = False) -> Ingested:
+def ingest_ratings(lines: DataFrame, min_fields: int = 4, quoted: bool | None = None) -> Ingested:
     """``user, movie, rating, timestamp``; rating double, timestamp Unix seconds.
 
     ``min_fields=3`` accepts lines without a timestamp (ts NULL), as the
     per-movie reports never read it.
     """
-    f = _fields(F.col("value"), quoted)
+    f = _fields(F.col("value"), min_fields >= 4 if quoted is None else quoted)
     n = F.size(f)
     rating = to_double(strip_ws(F.get(f, 2)))
     ts_text = strip_ws(F.get(f, 3))
     ts = to_long(ts_text)
     # With fewer than 4 required fields the timestamp is never validated.
-    bad_ts = ts.isNull() if min_fields >= 4 else F.lit(False)
+    bad_ts = ts.isNull() | ~in_calendar(ts) if min_fields >= 4 else F.lit(False)
     reason = _base_reason(F.col("value"), RATING_HEADER, n, min_fields).when(
         rating.isNull() | bad_ts, F.lit("bad_number")
     )
@@ -140,13 +146,17 @@ def ingest_ratings(lines: DataFrame, min_fields: int = 4, quoted: bool = False)
     )
 
 
-def ingest_users(lines: DataFrame, min_fields: int = 5, quoted: bool = False) -> Ingested:
-    """``user, gender, age, occupation, zip``; an age that is not an integer rejects the line."""
-    f = _fields(F.col("value"), quoted)
+def ingest_users(lines: DataFrame, min_fields: int = 5, quoted: bool | None = None) -> Ingested:
+    """``user, gender, age, occupation, zip``; an age that is not an integer rejects the line.
+
+    ``min_fields=2`` is the id-to-gender lookup: the age is read if it is a
+    number and NULL if not, and never rejects a line.
+    """
+    f = _fields(F.col("value"), min_fields >= 5 if quoted is None else quoted)
     n = F.size(f)
     age = to_int(strip_ws(F.get(f, 2)))
     reason = _base_reason(F.col("value"), USER_HEADER, n, min_fields).when(
-        age.isNull(), F.lit("bad_number")
+        age.isNull() if min_fields >= 3 else F.lit(False), F.lit("bad_number")
     )
     return _split_result(
         lines,
@@ -161,7 +171,7 @@ def ingest_users(lines: DataFrame, min_fields: int = 5, quoted: bool = False) ->
     )
 
 
-def ingest_occupations(lines: DataFrame, quoted: bool = False) -> Ingested:
+def ingest_occupations(lines: DataFrame, quoted: bool = True) -> Ingested:
     """``id, name``; the name is every field after the first joined with commas."""
     f = _fields(F.col("value"), quoted)
     n = F.size(f)

@@ -1,7 +1,8 @@
 """Result writers.
 
 * ``write_delimited``: ``sep``-separated text (``\\t`` for key/value output,
-  ``,`` for comma output), replacing an existing target by default.
+  ``,`` for comma output), replacing an existing target by default. Values
+  are written as they are: no quoting, no escaping.
 * ``write_text``: one pre-formatted text column per line.
 * ``single_file=True`` coalesces to one task first. Use it only on
   aggregated results; on a large frame it funnels all data through one task.
@@ -12,13 +13,20 @@ re-run and only committed output becomes visible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _prepare(df: DataFrame, single_file: bool) -> DataFrame:
     return df.coalesce(1) if single_file else df
 
 
+def delimited_line(columns: list[str], sep: str, null_value: str = "") -> Column:
+    """The columns as text, joined by ``sep``; nothing is quoted or escaped, NULL is ``null_value``."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit(null_value)) for c in columns])
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -27,12 +35,8 @@ def write_delimited(
     single_file: bool = False,
     null_value: str = "",
 ) -> None:
-    (
-        _prepare(df, single_file)
-        .write.mode(mode)
-        .options(sep=sep, header="false", quote="", escape="", nullValue=null_value)
-        .csv(path)
-    )
+    lines = df.select(delimited_line(df.columns, sep, null_value).alias("line"))
+    _prepare(lines, single_file).write.mode(mode).text(path)
 
 
 def write_text(df: DataFrame, path: str, column: str = "line", mode: str = "overwrite", single_file: bool = False) -> None:
@@ -40,9 +44,8 @@ def write_text(df: DataFrame, path: str, column: str = "line", mode: str = "over
 
 
 def read_delimited(spark, path: str, schema: str, sep: str = "\t", null_value: str = "") -> DataFrame:
-    """Read back what :func:`write_delimited` wrote, with the same options."""
-    return (
-        spark.read.schema(schema)
-        .options(sep=sep, header="false", quote="", escape="", nullValue=null_value)
-        .csv(path)
-    )
+    """Reads what :func:`write_delimited` wrote, for values that hold neither ``sep`` nor a line break."""
+    fields = T._parse_datatype_string(schema).fields
+    parts = F.split(F.col("value"), "[" + ("\\" + sep if sep in "\\]^-[" else sep) + "]", -1)
+    columns = [F.nullif(F.get(parts, k), F.lit(null_value)).try_cast(f.dataType).alias(f.name) for k, f in enumerate(fields)]
+    return spark.read.text(path).select(*columns)

@@ -45,22 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it has fewer splits than cores.
-
-    A parquet row group is the smallest unit a scan can split, so a table
-    written as a few large row groups is read by a few tasks, and all
-    per-row work fused into the scan stage (tokenizing whole texts) runs
-    there. Only then is it worth one shuffle to spread the rows. A large
-    input has far more splits than cores and is returned unchanged. Only
-    the split count of the scan is inspected; no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def _epoch_seconds(c: str):
     ts = F.col(c)
     return (
@@ -116,7 +100,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> Da
     """Reviews; without ``with_sentiment`` the labels join is skipped entirely
     and the frame has no sentiment column (reports that ignore sentiment
     then never shuffle the review text for the join)."""
-    docs = spread(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("review"),
         F.col("lang").alias("topic"),
@@ -124,11 +108,9 @@ def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> Da
     )
     if not with_sentiment:
         return docs
-    labels = table(spark, sf_dir, "labels").select(
+    labels = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1)).select(
         F.col("doc_id").alias("id"),
-        F.when(F.col("quality") == 1, F.lit("positive"))
-        .when(F.col("quality") == 0, F.lit("negative"))
-        .alias("sentiment"),
+        F.when(F.col("quality") == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("sentiment"),
     )
     return docs.join(labels, "id", "left")
 

@@ -42,7 +42,7 @@ def test_rating_reports_from_text_files(spark):
         )
     ).rows
     users = REC.ingest_users(
-        REC.scan_lines(spark, _files(spark, "users", "1,M,28,3,12345", "2,F,35,4,54321", "3,F,17,3,11111"))
+        REC.scan_lines(spark, _files(spark, "users", "1,M,27,3,90210", "2,F,35,4,54321", "3,F,17,3,11111"))
     ).rows
     occupations = REC.ingest_occupations(
         REC.scan_lines(spark, _files(spark, "occ", "3,Programmer", "4,Doctor", "5,Researcher"))

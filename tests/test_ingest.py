@@ -4,6 +4,7 @@ from conftest import lines, rows
 
 from marquee.sources import records as REC
 from marquee.sources import reviews as RV
+from marquee.sources import sinks as SK
 from marquee.session import scratch_path
 
 
@@ -132,3 +133,47 @@ def test_stopwords_keep_duplicates_and_phrases(spark):
     assert sorted(r.word for r in RV.read_stopwords(spark, path, delimiter="\t").collect()) == sorted(
         ["và", "của", "và", "bởi vì", "là"]
     )
+
+
+def test_quotes_count_only_at_the_start_of_a_field(spark):
+    df = lines(
+        spark,
+        '5,The 5" Floppy,Drama',
+        '6,"A, B",Drama',
+        '7,"say ""hi"", you" there,X|Y',
+        '8, "not quoted, here",Z',
+        '9,"open, to the end,W',
+    )
+    got = {r.movie_id: r.title for r in REC.ingest_movies(df).rows.collect()}
+    assert got == {"5": 'The 5" Floppy', "6": "A, B", "7": 'say "hi", you there', "8": '"not quoted, here"'}
+    plain = {r.movie_id: r.title for r in REC.ingest_movies(df, title_mode="second_field").rows.collect()}
+    assert plain["6"] == '"A'
+
+
+def test_a_long_line_of_quotes_is_one_more_line(spark):
+    df = lines(spark, "1," + '"' * 1_000_000 + ",Drama", '2,"' + '"",' * 300_000 + '",Drama', "3,ok,Drama")
+    got = {r.movie_id: len(r.title) for r in REC.ingest_movies(df).rows.collect()}
+    assert got["3"] == 2 and got["2"] == 600_000
+
+
+def test_gender_lookup_needs_no_age(spark):
+    df = lines(spark, "5,F", "6,M,xx", "7,F,33,1,z", "8")
+    got = rows(REC.ingest_users(df, min_fields=2).rows, "user_id", "gender", "age")
+    assert got == [("5", "F", None), ("6", "M", None), ("7", "F", 33)]
+
+
+def test_timestamps_out_of_the_calendar_are_rejected(spark):
+    df = lines(spark, "1,2,4.0,9223372036854775807", "1,2,4.0,964982703", "1,2,4.5f,964982703")
+    res = REC.ingest_ratings(df)
+    assert rows(res.rows, "ts") == [(964982703,)]
+    assert rows(res.rejects, "reason") == [("bad_number",), ("bad_number",)]
+
+
+def test_delimited_files_hold_the_values_as_they_are(spark, tmp_path):
+    df = spark.createDataFrame([("a,b", "", None, 1), ('q"u', "x", "y\\", 2)], "a string, b string, c string, n int")
+    SK.write_delimited(df, f"{tmp_path}/csv", sep=",", null_value="NULL")
+    assert rows(spark.read.text(f"{tmp_path}/csv")) == [("a,b,,NULL,1",), ('q"u,x,y\\,2',)]
+    SK.write_delimited(df, f"{tmp_path}/tsv", sep="\t", null_value="NULL")
+    assert rows(spark.read.text(f"{tmp_path}/tsv"))[0] == ("a,b\t\tNULL\t1",)
+    back = SK.read_delimited(spark, f"{tmp_path}/tsv", "a string, b string, c string, n int", null_value="NULL")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

@@ -2,14 +2,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.functions.scalar import age_group, epoch_year, format_avg, strip_ws
+from marquee.functions.scalar import age_group, epoch_year, strip_ws, to_double
 from marquee.functions.text import clean_text, delimiter_pattern, tokenize
-from marquee.operators.aggregate import conditional_stats, count_non_null
-from marquee.operators.join import anti_join, left_outer, lookup_with_fallback, word_list_frame
-from marquee.operators.reshape import explode_list, nested_group, unnest_group
+from marquee.operators.aggregate import avg_count, conditional_stats, count_non_null, merge_sum_count, sum_count
+from marquee.operators.join import anti_join, left_outer, lookup_with_fallback, salted_join, word_list_frame
+from marquee.operators.reshape import explode_list, top_k_bag, unnest_group
 from marquee.operators.topk import top_k_per_group, with_order_rank
 from marquee.plans import text_reports as TR
 
+from conftest import rows
+
 
 def test_strip_handles_cr_and_tabs(spark):
     df = spark.createDataFrame([(" \t a b \r\n",)], "s string")
@@ -36,9 +38,10 @@ def test_age_group_and_year(spark):
     assert [r[0] for r in ts.select(epoch_year("t")).collect()] == [1969, 1970, 2019, 2020]
 
 
-def test_format_avg_half_up_and_na(spark):
+def test_number_text_half_up_and_half_even(spark):
     df = spark.createDataFrame([(4.25,), (None,), (3.14159,)], "x double")
-    assert [r[0] for r in df.select(format_avg("x", 1)).collect()] == ["4.3", "NA", "3.1"]
+    half_up = df.select(TR.fmt_number(F.col("x"), 1, "half_up")).collect()
+    assert [r[0] for r in half_up] == ["4.3", "NA", "3.1"]
     half_even = df.select(TR.fmt_number(F.col("x"), 1, "half_even")).collect()
     assert [r[0] for r in half_even] == ["4.2", "NA", "3.1"]
 
@@ -81,11 +84,11 @@ def test_explode_list_blank_and_repeat(spark):
     assert got == ["Action", "Drama", "Action"]
 
 
-def test_top_k_and_nested_group(spark):
+def test_top_k_and_top_k_bag(spark):
     df = spark.createDataFrame([("t", w, f) for w, f in [("a", 3), ("b", 3), ("c", 1), ("d", 5)]], "topic string, word string, freq int")
     top = top_k_per_group(df, ["topic"], [F.desc("freq"), F.asc("word")], 2, rank_col="rank")
     assert [(r.word, r.rank) for r in top.orderBy("rank").collect()] == [("d", 1), ("a", 2)]
-    bag = nested_group(df, ["topic"], [F.desc("freq"), F.asc("word")], 3, ["word", "freq"])
+    bag = top_k_bag(df, ["topic"], [F.desc("freq"), F.asc("word")], 3, ["word", "freq"])
     assert [(e.word, e.freq) for e in bag.first().bag] == [("d", 5), ("a", 3), ("b", 3)]
     flat = unnest_group(bag, ["topic"])
     assert flat.columns == ["topic", "word", "freq"] and flat.count() == 3
@@ -105,3 +108,43 @@ def test_text_report_lines(spark):
     assert TR.gender_lines(g).first().line == "Psycho (1960)\tM: NA (n=0)\tF: 4.00 (n=2)"
     mr = spark.createDataFrame([("Toy Story (1995)", 4.25, 2)], "title string, avg_rating double, n bigint")
     assert TR.mr_movie_lines(mr).first().line == "Toy Story (1995)\tAverage rating: 4.3 (Total ratings: 2)"
+
+
+def test_two_decimals_as_the_exact_binary_value_rounds(spark):
+    values = sorted({k / 2 / n for n in (8, 40, 100, 120, 200, 400) for k in range(0, 10 * n + 1, 1 + n // 60)})
+    values += [2.675, 2.345, 4.125, 1.015, 0.995, 0.005, 0.015, 99.995, 1e-9, -2.675, -0.125, 123456789.125, 2.0**53, 1e17]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select("x", TR.fmt_number(F.col("x")).alias("t"), TR.fmt_number(F.col("x"), 1).alias("t1")).collect()
+    assert [(r.t, r.t1) for r in got] == [(f"{r.x:.2f}", f"{r.x:.1f}") for r in got]
+
+
+def test_numbers_years_and_counts_at_the_edges(spark):
+    df = spark.createDataFrame([("4.5f",), ("4.5d",), ("4.",), ("inf",), (" 3 ",), ("1e3",)], "x string")
+    assert [r[0] for r in df.select(to_double(strip_ws("x"))).collect()] == [None, None, 4.0, float("inf"), 3.0, 1000.0]
+    ts = spark.createDataFrame([(9223372036854775807,), (-9223372036854775808,), (253402300799,), (-62135596800,)], "t bigint")
+    assert [r[0] for r in ts.select(epoch_year("t")).collect()] == [None, None, 9999, 1]
+    rated = spark.createDataFrame([("m", 4.0), ("m", None)], "movie_id string, rating double")
+    assert tuple(avg_count(rated, ["movie_id"]).first()) == ("m", 4.0, 1)
+    assert tuple(merge_sum_count(sum_count(rated, ["movie_id"]), ["movie_id"]).first()) == ("m", 4.0, 1)
+
+
+def test_a_key_listed_twice_gives_one_row(spark):
+    facts = spark.createDataFrame([("m", 1), ("x", 2)], "k string, v int")
+    dim = spark.createDataFrame([("m", "Old"), ("m", "New"), ("m", None)], "k string, title string")
+    assert rows(lookup_with_fallback(facts, dim, "k", "title"), "k", "title") == [("m", "Old"), ("x", "x")]
+
+
+def test_salted_join_splits_a_hot_key(spark):
+    facts = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    dim = spark.createDataFrame([("hot", "h"), ("cold", "c")], "k string, d string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(facts, dim, "k", "v")
+        assert joined.count() == 2000 and joined.columns == ["k", "v", "d"]
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

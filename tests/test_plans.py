@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from marquee.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -56,3 +57,22 @@ def test_gender_pivot_has_one_aggregation_exchange(spark):
     text = formatted(spark, "movie_gender_stats")
     assert "pivotfirst" not in text.lower()
     assert text.count("partial_avg") == 2  # M and F, one aggregate node
+
+
+def test_no_plan_depends_on_split_counts_or_round_robin(spark):
+    for name in sorted(catalog.queries()):
+        if name.startswith(("sink_", "scan_", "stream_", "ingest_reviews", "ingest_stopwords", "union_", "op_sort", "op_format")):
+            continue  # these write files when they are built
+        assert "RoundRobin" not in formatted(spark, name), name
+
+
+def test_labels_filter_reaches_the_scan(spark):
+    assert "In(quality, [0,1])" in formatted(spark, "topic_sentiment_top_words")
+
+
+def test_report_6_aggregates_below_the_title_join(spark):
+    text = formatted(spark, "movie_gender_stats_zero")
+    tree = text[: text.index("(1) ")]
+    # (sum, count) per movie in two steps, then merged by title in two steps
+    assert tree.count("HashAggregate") == 4
+    assert tree.rindex("HashAggregate") > tree.index("Join") > tree.index("HashAggregate")

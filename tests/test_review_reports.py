@@ -106,3 +106,11 @@ def test_top_words_drop_id_zero_and_headers(reviews):
 def test_top_words_null_topic_counts_zero(spark):
     df = spark.createDataFrame([(1, "w w", None, "A", "positive")], SCHEMA)
     assert [tuple(r) for r in V.topic_top_words(df).collect()] == [(None, "w", 0)]
+
+
+def test_top_words_without_stopwords(spark):
+    df = spark.createDataFrame([(1, "the the cat dog cat the", "t", "a", "positive")], SCHEMA)
+    sw = word_list_frame(spark, ["the"])
+    assert [r.word for r in V.topic_top_words(df, k=1).collect()] == ["the"]
+    assert [r.word for r in V.topic_top_words(df, k=1, stopwords=sw).collect()] == ["cat"]
+    assert [r.word for r in V.topic_sentiment_top_words(df, k=1, stopwords=sw).collect()] == ["cat"]
