@@ -110,16 +110,18 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     return float(np.clip(above_unl[best] / above_pos[best], 0.02, 0.98))
 
 
-def learn(pos: np.ndarray, unl: np.ndarray) -> tuple[Additive, float]:
-    """(model, estimated prior) from feature rows in a fixed order."""
-    if len(pos) < 2 or len(unl) < 2:
+def learn(x: np.ndarray, is_pos: np.ndarray, is_unl: np.ndarray) -> tuple[Additive, float]:
+    """(model, estimated prior) from feature rows in a fixed order; a row may be in both samples."""
+    if is_pos.sum() < 4 or is_unl.sum() < 4:
         return Additive([np.zeros(0)] * len(docstats.FEATURES), [np.zeros(1)] * len(docstats.FEATURES), 0.0), 0.5
     priors = []
-    for half in (0, 1):
-        model = _tell_apart(pos[half::2], unl[half::2])
-        priors.append(estimate_prior(model.margin(pos[1 - half :: 2]), model.margin(unl[1 - half :: 2])))
-    prior = sum(priors) / 2
-    return fit(pos, unl, prior), prior
+    half = np.arange(len(x)) % 2 == 0  # by document, so that none is on both sides
+    for mine, other in ((half, ~half), (~half, half)):
+        if min((m & s).sum() for m in (mine, other) for s in (is_pos, is_unl)):
+            model = _tell_apart(x[mine & is_pos], x[mine & is_unl])
+            priors.append(estimate_prior(model.margin(x[other & is_pos]), model.margin(x[other & is_unl])))
+    prior = sum(priors) / len(priors) if priors else 0.5
+    return fit(x[is_pos], x[is_unl], prior), prior
 
 
 def _tell_apart(pos: np.ndarray, unl: np.ndarray, steps: int = 200, rate: float = 0.05) -> Additive:
@@ -157,7 +159,7 @@ def train_quality(
     )
     both = marked.groupBy("doc_id").agg(F.max("pos").alias("pos"), F.max("unl").alias("unl"))
     x, role = labelled.sample_features(docs, both, positives + unlabelled)
-    return learn(x[role["pos"] == 1], x[role["unl"] == 1])
+    return learn(x, role["pos"] == 1, role["unl"] == 1)
 
 
 def score_quality(docs: DataFrame, model: Additive) -> DataFrame:
