@@ -9,7 +9,7 @@ documents or just the hit spans can then be removed.
 The broadcast is bounded: windows are dealt by hash into blocks of about
 ``BLOCK_BYTES`` of window text, and the documents pass each block in turn
 (chained narrow steps of one stage, no shuffle). A benchmark of usual size is
-one block.
+one block, and the driver holds one block at a time.
 
 Defined cases:
 
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words as W
+from marquee.session import materialized
 
 WINDOW = 10
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
@@ -91,15 +92,14 @@ class WindowSet:
                     yield f, n, items
 
 
-def _blocks(bench: DataFrame, n: int) -> list[dict[bytes, list[str]]]:
-    found = windows(bench, n).persist()
-    try:
-        total = found.agg(F.sum(F.octet_length("window") + 16 * F.size("item_ids") + 64)).first()[0] or 0
-        count = 1 + int(total) // BLOCK_BYTES
-        parts = (found.where(F.pmod(F.xxhash64("window"), F.lit(count)) == b) for b in range(count))
-        return [{r.window.encode(): r.item_ids for r in part.toLocalIterator()} for part in parts]
-    finally:
-        found.unpersist()
+def _blocks(bench: DataFrame, n: int) -> Iterator[tuple[dict[bytes, list[str]], bool]]:
+    """Blocks of windows with their item ids, one at a time, and whether a block is the last."""
+    found = materialized(windows(bench, n), "benchmark-windows")
+    total = found.agg(F.sum(F.octet_length("window") + 16 * F.size("item_ids") + 64)).first()[0] or 0
+    count = 1 + int(total) // BLOCK_BYTES
+    for b in range(count):
+        part = found.where(F.pmod(F.xxhash64("window"), F.lit(count)) == b)
+        yield {r.window.encode(): r.item_ids for r in part.toLocalIterator()}, b == count - 1
 
 
 SCAN = "struct<n_words:bigint,words:array<int>,items:array<string>,clean:string>"
@@ -108,10 +108,9 @@ SCAN = "struct<n_words:bigint,words:array<int>,items:array<string>,clean:string>
 def scan(docs: DataFrame, bench: DataFrame, n: int = WINDOW, with_clean: bool = False, text: str = "text") -> DataFrame:
     """``docs`` with struct ``leak``: n_words, words (places of hit words), items (ids), clean (text without hit spans, if asked for)."""
     spark = docs.sparkSession
-    blocks = _blocks(bench, n)
     out = docs.withColumn("leak", F.lit(None).cast(SCAN))
-    for number, block in enumerate(blocks):
-        look = _looker(spark.sparkContext.broadcast(block), with_clean and number == len(blocks) - 1)
+    for block, last in _blocks(bench, n):
+        look = _looker(spark.sparkContext.broadcast(block), with_clean and last)
         out = out.withColumn("leak", look(F.col(text), F.col("leak.words"), F.col("leak.items")))
     return out
 
