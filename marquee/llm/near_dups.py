@@ -1,10 +1,13 @@
 """Near-duplicate documents by MinHash bands, verified through odd sketches.
 
-A document's set holds its distinct ``SHINGLE``-word shingles. From
-``SAMPLES`` MinHash samples come the band keys, and an odd sketch: every
-(sample number, minimum) toggles one bit, so the XOR of two sketches counts
-the samples in which two documents differ, and its population count estimates
-a high similarity closely.
+A document's set holds its distinct ``SHINGLE``-word shingles. ``SAMPLES``
+MinHash samples (one minimum per hash function) give the band keys. The odd
+sketch folds the bottom MinHash samples (the ``SKETCH_SAMPLES`` smallest
+hashes, the whole set if it is smaller) into a parity bitmap: every sample
+toggles one bit, so the XOR of two sketches holds the samples in which two
+documents differ, and its population count never exceeds their number. For
+sets of up to ``SKETCH_SAMPLES`` shingles no similar pair can fail the test,
+and nearly no other passes; beyond, the limit allows for six deviations.
 
 1. Documents with equal sets become one class, represented by its smallest id.
 2. Representatives that share a band key are candidates. In every bucket they
@@ -31,7 +34,6 @@ Defined cases:
 
 from __future__ import annotations
 
-import math
 import os
 from collections.abc import Iterator
 
@@ -50,7 +52,8 @@ SIMILAR = (85, 100)
 BANDS = 32
 ROWS = 6
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 1024
+SKETCH_SAMPLES = 1024
+SKETCH_BITS = 2048
 SKETCH_WORDS = SKETCH_BITS // 64
 STAR_ROUNDS = 2  # rounds against one leader per bucket
 
@@ -59,12 +62,19 @@ _MULTIPLY = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) +
 _ADD = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
-def max_differing_bits(similar: float = SIMILAR[0] / SIMILAR[1], sigmas: float = 5.0) -> int:
-    """Most differing sketch bits that a pair of at least this similarity may show, up to ``sigmas``."""
-    differing = SAMPLES * (1 - similar) + sigmas * math.sqrt(SAMPLES * similar * (1 - similar))
-    toggles = 2 * min(differing, SAMPLES)
-    mean = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** toggles)
-    return math.ceil(mean + sigmas * math.sqrt(toggles * toggles / (2 * SKETCH_BITS) + 1))
+def max_differing(n_a: Column, n_b: Column) -> Column:
+    """Most samples in which two similar sets of these sizes may differ.
+
+    Exact while both sets are sampled whole. Otherwise the shared samples are
+    a draw of ``SKETCH_SAMPLES`` from the larger set; six deviations are allowed.
+    """
+    high, of = SIMILAR
+    k = F.lit(SKETCH_SAMPLES)
+    most = F.greatest(n_a, n_b)
+    whole = F.floor((n_a + n_b) * (of - high) / (of + high))
+    share = F.least((n_a + n_b) * high / (of + high) / most, F.lit(1.0))
+    common = k * share - 6 * F.sqrt(k * share * (1 - share))
+    return F.when(most <= k, whole).otherwise(F.ceil(F.least(n_a, k) + F.least(n_b, k) - 2 * common))
 
 
 def _distinct_shingles(chunk: W.Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,23 +93,30 @@ def _distinct_shingles(chunk: W.Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[order], found[order]
 
 
-def _sketch(shingles: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(band keys, odd sketches) of the sets that start at ``starts``."""
+def _band_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The band keys of the sets that start at ``starts``, one row per set."""
     least = np.empty((SAMPLES, len(starts)), np.uint64)
     for k in range(SAMPLES):
         np.minimum.reduceat(shingles * _MULTIPLY[k] + _ADD[k], starts, out=least[k])
     keys = np.empty((BANDS, len(starts)), np.uint64)
     for b in range(BANDS):
         band = least[b * ROWS : (b + 1) * ROWS]
-        keys[b] = W.combine(band.reshape(-1), np.arange(len(starts)), 1) ^ np.uint64(b)
+        keys[b] = W.mix(band[0]) ^ np.uint64(b)
         for k in range(1, ROWS):
             keys[b] = W.mix(keys[b] * _MULTIPLY[k] + band[k])
-    sample = np.arange(SAMPLES, dtype=np.uint64)[:, None]
-    bit = (W.mix(least + sample * _MULTIPLY[0]) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    place = np.arange(len(starts)) * SKETCH_BITS + bit
-    odd = np.bincount(place.ravel(), minlength=len(starts) * SKETCH_BITS).astype(np.uint8) & 1
-    packed = np.packbits(odd.reshape(-1, SKETCH_BITS), axis=1, bitorder="little").view("<i8")
-    return keys.T.view(np.int64), packed
+    return keys.T.view(np.int64)
+
+
+def _odd_sketches(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the bottom samples, as 64-bit words, one row per set."""
+    sizes = np.diff(np.concatenate((starts, [len(shingles)])))
+    sampled = np.ones(len(shingles), dtype=bool)
+    for lo, size in zip(starts[sizes > SKETCH_SAMPLES], sizes[sizes > SKETCH_SAMPLES], strict=True):
+        order = np.argpartition(shingles[lo : lo + size], SKETCH_SAMPLES)
+        sampled[lo + order[SKETCH_SAMPLES:]] = False
+    place = np.repeat(np.arange(len(starts)), sizes) * SKETCH_BITS + (W.mix(shingles) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(place[sampled], minlength=len(starts) * SKETCH_BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(-1, SKETCH_BITS), axis=1, bitorder="little").view("<i8")
 
 
 _SIGNATURE = T.StructType(
@@ -137,8 +154,8 @@ def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             ids[0, at] = np.add.reduceat(W.mix(found), starts)
             ids[1, at] = np.add.reduceat(W.mix(found ^ _ADD[0]), starts)
             of.append(at)
-            for out, values in zip((keys, sketches), _sketch(found, starts), strict=True):
-                out.append(values)
+            keys.append(_band_keys(found, starts))
+            sketches.append(_odd_sketches(found, starts))
         at = np.concatenate(of) if of else np.zeros(0, np.int64)
         empty = np.zeros(0, np.int64)
         yield pa.StructArray.from_arrays(
@@ -227,7 +244,7 @@ def _best_leaders(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         .join(mine, "rep")
         .join(theirs, "leader")
         .select("rep", "leader", "n", "n_leader", _differing("x", "y").alias("bits"))
-        .where((F.col("bits") <= max_differing_bits()) & _sizes_allow("n", "n_leader"))
+        .where((F.col("bits") <= max_differing(F.col("n"), F.col("n_leader"))) & _sizes_allow("n", "n_leader"))
     )
     return near.groupBy("rep").agg(F.min(F.struct("bits", "leader")).alias("best")).select(
         F.col("rep").alias("a"), F.col("best.leader").alias("b")
@@ -260,7 +277,7 @@ def _cross_pairs(opened: DataFrame, reps: DataFrame) -> DataFrame:
             & (F.col("comp_a") != F.col("comp_b"))
             & (F.col("in_main") | (F.col("comp_a") < F.col("comp_b")))
             & _sizes_allow("n_a", "n_b")
-            & (differ <= max_differing_bits()),
+            & (differ <= max_differing(F.col("n_a"), F.col("n_b"))),
         )
         .select("a", "b", differ.alias("bits"))
         .groupBy("a", "b")
