@@ -176,14 +176,16 @@ def decontaminate(docs: DataFrame, bench: DataFrame, remove: str = "documents",
     """``docs`` without contaminated documents, or (``remove="spans"``) with the hit spans cut out of their texts."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
-    found = scan(docs.withColumn("__text", F.col("text")), bench, n, remove == "spans", "__text")
+    rows = docs.select(F.struct("*").alias("doc"))
+    found = scan(rows, bench, n, remove == "spans", "doc.text")
     hit = F.size("leak.words") > 0
     if remove == "documents":
-        return found.where(~hit).select(*docs.columns)
-    out = found.withColumn("text", F.when(hit, F.col("leak.clean")).otherwise(F.col("text")))
+        return found.where(~hit).select("doc.*")
+    clean = F.col("leak.clean")
+    out = F.col("doc").withField("text", F.when(hit, clean).otherwise(F.col("doc.text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withField("n_chars", F.when(hit, F.length(clean).cast("bigint")).otherwise(F.col("doc.n_chars")))
+    return found.select(out.alias("doc")).select("doc.*")
 
 
 def leak_report(docs: DataFrame, bench: DataFrame) -> DataFrame:

@@ -130,31 +130,21 @@ def cut_points(
 
 
 def taken_words(docs: DataFrame, cuts: DataFrame, seed: str = "mix-1") -> DataFrame:
-    """``docs`` with struct ``mix``: size, source_size, target, taken, epochs, extra (words beyond the epochs)."""
-    sized = docs.withColumn(
-        "mix", F.struct(n_words(F.col("text")).alias("size"), mix_key(F.col("doc_id"), seed).alias("key"))
+    """(doc, mix): the row of ``docs``, and its size, source_size, target, taken, epochs and extra (words beyond the epochs)."""
+    sized = docs.select(F.struct("*").alias("doc")).select(
+        "doc", n_words(F.col("doc.text")).alias("size"), mix_key(F.col("doc.doc_id"), seed).alias("key")
     )
-    size, here, cut = F.col("mix.size"), F.struct("mix.key", "mix.size"), F.struct("cut_key", "cut_size")
+    here, cut = F.struct("key", "size"), F.struct("cut_key", "cut_size")
     extra = (
         F.when(F.col("cut_key").isNull() | (here > cut), F.lit(0).cast("bigint"))
-        .when(here < cut, size)
+        .when(here < cut, F.col("size"))
         .otherwise(F.col("cut_words"))
     )
+    taken = (F.col("epochs") * F.col("size") + F.col("extra")).alias("taken")
     return (
-        sized.join(cuts, F.col("source").eqNullSafe(F.col("of")))
+        sized.join(cuts, F.col("doc.source").eqNullSafe(F.col("of")))
         .withColumn("extra", extra)
-        .withColumn(
-            "mix",
-            F.struct(
-                size.alias("size"),
-                "source_size",
-                "target",
-                (F.col("epochs") * size + F.col("extra")).alias("taken"),
-                "epochs",
-                "extra",
-            ),
-        )
-        .select(*docs.columns, "mix")
+        .select("doc", F.struct("size", "source_size", "target", taken, "epochs", "extra").alias("mix"))
     )
 
 
@@ -180,18 +170,18 @@ def mix_sources(
         F.when(F.col("mix.extra") > 0, F.array("mix.extra")).otherwise(F.expr("cast(array() as array<bigint>)")),
     )
     copies = marked.where(F.col("mix.taken") > 0).withColumn("part", F.explode(parts))
-    cut = F.col("part") < F.col("mix.size")
-    text = F.when(cut, first_words(F.col("text"), F.col("part"))).otherwise(F.col("text"))
-    out = copies.withColumn("text", text)
+    cut, text = F.col("part") < F.col("mix.size"), F.col("doc.text")
+    shortened = first_words(text, F.col("part"))
+    out = F.col("doc").withField("text", F.when(cut, shortened).otherwise(text))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withField("n_chars", F.when(cut, F.length(shortened).cast("bigint")).otherwise(F.col("doc.n_chars")))
+    return copies.select(out.alias("doc")).select("doc.*")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", "source", "text")
     return taken_words(slim, cut_points(slim)).select(
-        "doc_id",
+        "doc.doc_id",
         F.col("mix.size").alias("size"),
         F.col("mix.source_size").alias("source_size"),
         F.col("mix.target").alias("target"),
