@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 512 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
