@@ -1,12 +1,11 @@
+"""The fixture with the folder of the smallest test tables."""
+
 from __future__ import annotations
 
 import os
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF_DIR = "/root/testdata/sf0.001"
 
 

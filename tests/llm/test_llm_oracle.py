@@ -5,6 +5,7 @@ from __future__ import annotations
 import __spark_entry__ as E
 from check_oracle import compare
 from marquee.llm import catalog
+from tables import sf_dir  # noqa: F401
 
 
 def test_registered_names():

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from marquee.llm import packing as P
+from tables import sf_dir  # noqa: F401
 
 SCHEMA = "doc_id bigint, text string, ids string, row int"
 

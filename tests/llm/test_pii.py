@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import pii as P
+from tables import sf_dir  # noqa: F401
 
 SCHEMA = "doc_id bigint, text string, n_entities string, lang string"
 VALUES = [

@@ -10,6 +10,7 @@ import pytest
 import brute as B
 from marquee.llm import catalog, quality_rules
 from marquee.session import materialized
+from tables import sf_dir  # noqa: F401
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 

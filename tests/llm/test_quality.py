@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import brute as B
 from marquee.llm import docstats, labelled, pu, quality_rules, trees
+from tables import sf_dir  # noqa: F401
 
 SCHEMA = "doc_id bigint, text string, score string, kept string, quality string, n_words string"
 LABELS = "doc_id bigint, quality int, text string"
