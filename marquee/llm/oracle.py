@@ -158,6 +158,32 @@ SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(siz
 FROM ordered
 """
 
+OP8_NEAR_DUPS = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+                                              lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM texts
+), shingles AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+), least AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l ON l.x = s.doc_id
+"""
+
 OP9_URLS = r"""
 WITH split AS (
   SELECT page_id,
@@ -184,5 +210,6 @@ SQL = {
     "op2_sharding": OP2_SHARDING,
     "op3_decontamination": OP3_DECONTAMINATION,
     "op4_mixing": OP4_MIXING,
+    "op8_near_dups": OP8_NEAR_DUPS,
     "op9_url_filter": OP9_URLS,
 }
