@@ -148,12 +148,9 @@ def permuted(df: DataFrame, body: str, alphabet: Column, key: Column, out: str)
 
 def _check_digit(payload: Column) -> Column:
     """Luhn check digit of a string of digits."""
-    digits = F.reverse(F.split(payload, ""))
-    doubled = F.transform(
-        digits, lambda d, i: F.when(i % 2 == 0, F.expr("0") + d.cast("int") * 2 - F.when(d.cast("int") > 4, 9).otherwise(0)).otherwise(d.cast("int"))
-    )
-    total = F.aggregate(doubled, F.lit(0), lambda acc, d: acc + d)
-    return F.pmod(-total, F.lit(10))
+    digits = F.transform(F.reverse(F.split(payload, "")), lambda d: d.cast("int"))
+    doubled = F.transform(digits, lambda d, i: F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0)))
+    return F.pmod(-F.aggregate(doubled, F.lit(0), lambda acc, d: acc + d), F.lit(10))
 
 
 def _refilled(value: Column, digits: Column) -> Column:
