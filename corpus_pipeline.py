@@ -22,8 +22,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return near_dups.drop_near_copies(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays."""
+    return near_dups.drop_near_copies(docs, near_dups.STAGE_SIMILAR)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Near-duplicate documents by MinHash bands, verified through odd sketches.
 
-A document's set holds its distinct ``SHINGLE``-word shingles. ``SAMPLES``
-MinHash samples (one minimum per hash function) give the band keys. The odd
+A document's set holds its distinct ``SHINGLE``-word shingles. What counts as
+similar is a parameter (``Similar``): ``SIMILAR``, 0.85, is op8's contract;
+``STAGE_SIMILAR``, 0.8, is the pipeline's rule. MinHash samples (one minimum
+per hash function) give the band keys. The odd
 sketch folds the bottom MinHash samples (the ``SKETCH_SAMPLES`` smallest
 hashes, the whole set if it is smaller) into a parity bitmap: every sample
 toggles one bit, so the XOR of two sketches holds the samples in which two
@@ -21,7 +23,8 @@ and nearly no other passes; beyond, the limit allows for six deviations.
 4. Components of the verified links; the smallest id names a component.
 
 With 32 bands of 6 rows, a pair of similarity 0.85 shares no band with
-probability 3e-7, and a higher one less.
+probability 3e-7, and a higher one less; with 38 bands of 5 rows that holds
+from 0.8 on.
 
 Defined cases:
 
@@ -35,7 +38,8 @@ Defined cases:
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +52,20 @@ from marquee.llm.components import components
 from marquee.session import materialized
 
 SHINGLE = 5
-SIMILAR = (85, 100)
-BANDS = 32
-ROWS = 6
-SAMPLES = BANDS * ROWS
+
+
+class Similar(NamedTuple):
+    """Least similarity ``high / of`` of a link, and the bands and rows that find it."""
+
+    high: int
+    of: int
+    bands: int
+    rows: int
+
+
+SIMILAR = Similar(85, 100, 32, 6)
+STAGE_SIMILAR = Similar(80, 100, 38, 5)
+SAMPLES = 192  # most bands times rows
 SKETCH_SAMPLES = 1024
 SKETCH_BITS = 2048
 SKETCH_WORDS = SKETCH_BITS // 64
@@ -62,13 +76,13 @@ _MULTIPLY = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) +
 _ADD = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
-def max_differing(n_a: Column, n_b: Column) -> Column:
+def max_differing(n_a: Column, n_b: Column, similar: Similar = SIMILAR) -> Column:
     """Most samples in which two similar sets of these sizes may differ.
 
     Exact while both sets are sampled whole. Otherwise the shared samples are
     a draw of ``SKETCH_SAMPLES`` from the larger set; six deviations are allowed.
     """
-    high, of = SIMILAR
+    high, of = similar.high, similar.of
     k = F.lit(SKETCH_SAMPLES)
     most = F.greatest(n_a, n_b)
     whole = F.floor((n_a + n_b) * (of - high) / (of + high))
@@ -93,16 +107,16 @@ def _distinct_shingles(chunk: W.Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[order], found[order]
 
 
-def _band_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _band_keys(shingles: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """The band keys of the sets that start at ``starts``, one row per set."""
-    least = np.empty((SAMPLES, len(starts)), np.uint64)
-    for k in range(SAMPLES):
+    least = np.empty((bands * rows, len(starts)), np.uint64)
+    for k in range(bands * rows):
         np.minimum.reduceat(shingles * _MULTIPLY[k] + _ADD[k], starts, out=least[k])
-    keys = np.empty((BANDS, len(starts)), np.uint64)
-    for b in range(BANDS):
-        band = least[b * ROWS : (b + 1) * ROWS]
+    keys = np.empty((bands, len(starts)), np.uint64)
+    for b in range(bands):
+        band = least[b * rows : (b + 1) * rows]
         keys[b] = W.mix(band[0]) ^ np.uint64(b)
-        for k in range(1, ROWS):
+        for k in range(1, rows):
             keys[b] = W.mix(keys[b] * _MULTIPLY[k] + band[k])
     return keys.T.view(np.int64)
 
@@ -137,37 +151,41 @@ def _lists(rows: np.ndarray, of: np.ndarray, n: int, width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(rows.ravel()))
 
 
-@F.arrow_udf(_SIGNATURE)
-def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def signature(bands: int, rows: int) -> Callable[[str], Column]:
     """Set size, two 64-bit sums that identify the set, band keys and odd sketch."""
-    for texts in batches:
-        n = np.zeros(len(texts), np.int64)
-        ids = np.zeros((2, len(texts)), np.uint64)
-        of, keys, sketches = [], [], []
-        for chunk in W.chunks(texts, W.not_space(), W.lower_ascii()):
-            row, found = _distinct_shingles(chunk, SHINGLE)
-            if not len(row):
-                continue
-            starts = np.flatnonzero(np.concatenate(([True], np.diff(row) > 0)))
-            at = chunk.first_row + row[starts]
-            n[at] = np.diff(np.concatenate((starts, [len(row)])))
-            ids[0, at] = np.add.reduceat(W.mix(found), starts)
-            ids[1, at] = np.add.reduceat(W.mix(found ^ _ADD[0]), starts)
-            of.append(at)
-            keys.append(_band_keys(found, starts))
-            sketches.append(_odd_sketches(found, starts))
-        at = np.concatenate(of) if of else np.zeros(0, np.int64)
-        empty = np.zeros(0, np.int64)
-        yield pa.StructArray.from_arrays(
-            [
-                pa.array(n),
-                pa.array(ids[0].view(np.int64)),
-                pa.array(ids[1].view(np.int64)),
-                _lists(np.concatenate(keys) if keys else empty, at, len(texts), BANDS),
-                _lists(np.concatenate(sketches) if sketches else empty, at, len(texts), SKETCH_WORDS),
-            ],
-            fields=[pa.field(f.name, t) for f, t in zip(_SIGNATURE.fields, _ARROW, strict=True)],
-        )
+
+    @F.arrow_udf(_SIGNATURE)
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            n = np.zeros(len(texts), np.int64)
+            ids = np.zeros((2, len(texts)), np.uint64)
+            of, keys, sketches = [], [], []
+            for chunk in W.chunks(texts, W.not_space(), W.lower_ascii()):
+                row, found = _distinct_shingles(chunk, SHINGLE)
+                if not len(row):
+                    continue
+                starts = np.flatnonzero(np.concatenate(([True], np.diff(row) > 0)))
+                at = chunk.first_row + row[starts]
+                n[at] = np.diff(np.concatenate((starts, [len(row)])))
+                ids[0, at] = np.add.reduceat(W.mix(found), starts)
+                ids[1, at] = np.add.reduceat(W.mix(found ^ _ADD[0]), starts)
+                of.append(at)
+                keys.append(_band_keys(found, starts, bands, rows))
+                sketches.append(_odd_sketches(found, starts))
+            at = np.concatenate(of) if of else np.zeros(0, np.int64)
+            empty = np.zeros(0, np.int64)
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(n),
+                    pa.array(ids[0].view(np.int64)),
+                    pa.array(ids[1].view(np.int64)),
+                    _lists(np.concatenate(keys) if keys else empty, at, len(texts), bands),
+                    _lists(np.concatenate(sketches) if sketches else empty, at, len(texts), SKETCH_WORDS),
+                ],
+                fields=[pa.field(f.name, t) for f, t in zip(_SIGNATURE.fields, _ARROW, strict=True)],
+            )
+
+    return signed
 
 
 _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -198,14 +216,13 @@ def _spread(prefix: str) -> list[Column]:
     return [F.col("sketch")[k].alias(f"{prefix}{k}") for k in range(SKETCH_WORDS)]
 
 
-def _sizes_allow(a: str, b: str) -> Column:
-    high, of = SIMILAR
-    return F.least(a, b) * of >= F.greatest(a, b) * high
+def _sizes_allow(a: str, b: str, similar: Similar) -> Column:
+    return F.least(a, b) * similar.of >= F.greatest(a, b) * similar.high
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     """The pairs ``a``, ``b`` that are similar on their full sets, as edges ``u``, ``v``."""
-    high, of = SIMILAR
+    high, of = similar.high, similar.of
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_of_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_of_b"))
     both = F.size(F.array_intersect("set_of_a", "set_of_b"))
@@ -234,7 +251,7 @@ def _open_buckets(grouped: DataFrame, seed: int) -> DataFrame:
     return materialized(mains.select("key", (-F.col("most.less")).alias("main"), F.col("most.drawn.rep").alias("leader")), "open-buckets")
 
 
-def _best_leaders(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _best_leaders(pairs: DataFrame, reps: DataFrame, similar: Similar) -> DataFrame:
     """Of every document's leaders that pass the sketch test, the best one."""
     mine = reps.select("rep", "n", *_spread("x"))
     theirs = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n_leader"), *_spread("y"))
@@ -244,14 +261,14 @@ def _best_leaders(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         .join(mine, "rep")
         .join(theirs, "leader")
         .select("rep", "leader", "n", "n_leader", _differing("x", "y").alias("bits"))
-        .where((F.col("bits") <= max_differing(F.col("n"), F.col("n_leader"))) & _sizes_allow("n", "n_leader"))
+        .where((F.col("bits") <= max_differing(F.col("n"), F.col("n_leader"), similar)) & _sizes_allow("n", "n_leader", similar))
     )
     return near.groupBy("rep").agg(F.min(F.struct("bits", "leader")).alias("best")).select(
         F.col("rep").alias("a"), F.col("best.leader").alias("b")
     )
 
 
-def _cross_pairs(opened: DataFrame, reps: DataFrame) -> DataFrame:
+def _cross_pairs(opened: DataFrame, reps: DataFrame, similar: Similar) -> DataFrame:
     """Distinct pairs of different components that share a bucket and pass the sketch test: (a, b, bits).
 
     One side of a pair always lies outside the bucket's main component, and
@@ -276,8 +293,8 @@ def _cross_pairs(opened: DataFrame, reps: DataFrame) -> DataFrame:
             (F.col("key") == F.col("key_b"))
             & (F.col("comp_a") != F.col("comp_b"))
             & (F.col("in_main") | (F.col("comp_a") < F.col("comp_b")))
-            & _sizes_allow("n_a", "n_b")
-            & (differ <= max_differing(F.col("n_a"), F.col("n_b"))),
+            & _sizes_allow("n_a", "n_b", similar)
+            & (differ <= max_differing(F.col("n_a"), F.col("n_b"), similar)),
         )
         .select("a", "b", differ.alias("bits"))
         .groupBy("a", "b")
@@ -285,13 +302,13 @@ def _cross_pairs(opened: DataFrame, reps: DataFrame) -> DataFrame:
     )
 
 
-def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     """(node, component) of everything that verified links connect.
 
     ``members`` are (key, rep, leader), the leader being a bucket's smallest id.
     """
-    first = _best_leaders(members.where("rep != leader"), reps)
-    links = materialized(_verified(first, sets), "links")
+    first = _best_leaders(members.where("rep != leader"), reps, similar)
+    links = materialized(_verified(first, sets, similar), "links")
     found = components(links)
     for seed in range(1, STAR_ROUNDS + 1):
         grouped = _grouped(found, members)
@@ -301,16 +318,16 @@ def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
         opened = grouped.join(open_buckets, "key")
         if seed == STAR_ROUNDS:
             break
-        again = _best_leaders(opened.where("comp != main"), reps)
-        links = materialized(links.unionAll(_verified(again, sets)), "links")
+        again = _best_leaders(opened.where("comp != main"), reps, similar)
+        links = materialized(links.unionAll(_verified(again, sets, similar)), "links")
         found = components(links)
 
     best_first = Window.partitionBy("a").orderBy("bits", "b")
-    pairs = materialized(_cross_pairs(opened, reps), "cross-pairs")
+    pairs = materialized(_cross_pairs(opened, reps, similar), "cross-pairs")
     take = 1
     while not pairs.isEmpty():
         ranked = materialized(pairs.withColumn("place", F.row_number().over(best_first)), "ranked-pairs")
-        links = materialized(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets)), "links")
+        links = materialized(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets, similar)), "links")
         found = components(links)
         of_a = found.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
         of_b = found.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
@@ -321,10 +338,10 @@ def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, similar: Similar = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     slim = docs.select("doc_id", "text")
-    signed = slim.withColumn("s", signature("text")).select("doc_id", "s.*")
+    signed = slim.withColumn("s", signature(similar.bands, similar.rows)("text")).select("doc_id", "s.*")
     signed = materialized(signed, "signatures")
     linkable = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
 
@@ -342,7 +359,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = slim.join(candidates, F.col("doc_id") == F.col("rep")).select("rep", shingle_set("text").alias("shingles"))
     sets = materialized(found, "sets")
 
-    found = _linked(members, reps, sets).withColumnRenamed("node", "rep")
+    found = _linked(members, reps, sets, similar).withColumnRenamed("node", "rep")
     classes = reps.join(found, "rep", "left").where("copies > 1 or component is not null")
     classes = classes.select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("c"), F.coalesce("component", "rep").alias("component")
@@ -357,8 +374,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, similar: Similar = SIMILAR) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id."""
-    dropped = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
+    dropped = near_duplicates(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
     dropped = materialized(dropped, "ids")
     return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")

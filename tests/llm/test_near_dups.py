@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute as B
+import corpus_pipeline
 from marquee.llm import components as C
 from marquee.llm import near_dups as N
 
@@ -113,3 +114,24 @@ def test_words_of_odd_bytes():
             lo, hi = chunk.first_word[r], chunk.first_word[r + 1]
             rows.append([chunk.data[chunk.start[k] : chunk.end[k]].tobytes().decode() for k in range(lo, hi)])
     assert rows == [B.words((t or "").translate(B.LOWER)) for t in texts]
+
+
+def links_at(docs, high):
+    sets = {i: B.shingles(t) for i, t in docs.items()}
+    return {(i, j) for i in docs for j in docs if i < j and 100 * len(sets[i] & sets[j]) >= high * len(sets[i] | sets[j])}
+
+
+def test_the_stage_drops_copies_from_a_similarity_of_80_on(spark):
+    """Pairs of 0.8 exactly, and between 0.8 and 0.85, go in the stage and stay in op8."""
+    docs = {}
+    for g, changed in enumerate((1, 2, 3, 4)):  # of 49 words, 45 shingles: each change takes 5
+        base = [f"g{g}w{k}" for k in range(49)]
+        docs[2 * g] = " ".join(base)
+        docs[2 * g + 1] = " ".join(f"new{k}" if k < changed else w for k, w in enumerate(base))
+    docs |= {10: " ".join(f"h{k}" for k in range(49)), 11: " ".join("x" if k == 20 else f"h{k}" for k in range(49))}
+    assert links_at(docs, 80) == links_at(docs, 85) | {(6, 7), (10, 11)}
+    df = spark.createDataFrame([(i, t, "t", "s", len(t)) for i, t in docs.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stage = corpus_pipeline.near_dedup_stage(spark, df, "")
+    dropped = lambda links: {j for _, j in links}
+    assert set(docs) - {r.doc_id for r in stage.collect()} == dropped(links_at(docs, 80))
+    assert {r.doc_id for r in N.near_duplicates(df).where("not kept").collect()} == dropped(links_at(docs, 85))
