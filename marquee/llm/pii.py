@@ -14,7 +14,8 @@ distinct entities of a shape stay distinct. What carries meaning stays too:
 * keys and hexadecimal secrets: prefix, alphabet and length;
 * person: the honorific and with it the gender, the script, the capitals, and
   the last letter of each name (often a gender ending). Names are replaced
-  word by word, so ``Mrs Ana Roe`` and ``Mrs Roe`` keep a name in common.
+  word by word, so ``Mrs Ana Roe`` and ``Mrs Roe`` keep a name in common, and
+  so does ``Roe`` without a title in a text that names ``Mrs Roe``.
 
 Surrogates are then checked against each other and against all real entities;
 one that equals another or a real entity (its own included) is drawn again
@@ -43,7 +44,7 @@ ROUNDS = 6
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 SECRET_NAME = r"(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?"
-SECRET = SECRET_NAME + r"[^\s\"',;]{5,199}[^\s\"',;.:!?)]"
+SECRET = SECRET_NAME + r"[^\s\"',;]{5,}[^\s\"',;.:!?)]"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 PHONE = (
     r"(?<![\d+])\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
@@ -57,7 +58,8 @@ KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 HONORIFICS = "Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Г-н|Г-жа|Господин|Госпожа"
 TITLE = rf"(?:{HONORIFICS})\.? "
-PERSON = rf"(?<![\p{{L}}\d]){TITLE}\p{{Lu}}[\p{{L}}'-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'-]{{1,40}}){{0,2}}"
+PERSON = rf"(?<![\p{{L}}\d]){TITLE}\p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)*+"
+NAME = r"(?<![\p{L}\d'-])\p{Lu}[\p{L}'-]++"  # a word that may be an untitled mention of a person
 
 # The guards let most letters of ordinary text fail on one look.
 ENTITY = (
@@ -225,8 +227,8 @@ def checked_surrogates(units: DataFrame, key: str) -> DataFrame:
     return now.select("kind", "value", "surrogate")
 
 
-def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(value, surrogate) of distinct entity strings; persons are put together from their names."""
+def entity_surrogates(entities: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(value, surrogate) of distinct entity strings, persons put together from their names; and of the names."""
     typed = entities.select("value", kind_of(F.col("value")).alias("kind"))
     names = F.split(F.regexp_replace("value", f"^{TITLE}", ""), " ")
     of_persons = typed.where("kind = 'person'").select(
@@ -238,13 +240,34 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
         of_persons.select(F.lit("name").alias("kind"), "value").distinct()
     )
     made = checked_surrogates(units, key)
+    named = made.where("kind = 'name'").select("value", "surrogate")
     spoken = (
-        of_persons.join(made.where("kind = 'name'"), "value")
+        of_persons.join(named, "value")
         .groupBy("person", "title")
         .agg(F.array_sort(F.collect_list(F.struct("nth", "surrogate"))).alias("names"))
         .select(F.col("person").alias("value"), F.concat("title", F.array_join("names.surrogate", " ")).alias("surrogate"))
     )
-    return materialized(made.where("kind != 'name'").select("value", "surrogate").unionByName(spoken), "entity-surrogates")
+    return materialized(made.where("kind != 'name'").select("value", "surrogate").unionByName(spoken), "entity-surrogates"), named
+
+
+def _names_by_text(said: DataFrame, named: DataFrame) -> DataFrame:
+    """(__text_id, __names): the names of a text's persons and their surrogates, as a map."""
+    persons = said.where(F.col("value").rlike(f"^{TITLE}") & (kind_of(F.col("value")) == "person"))
+    words = F.split(F.regexp_replace("value", f"^{TITLE}", ""), " ")
+    return (
+        persons.select("__text_id", F.explode(words).alias("value"))
+        .distinct()
+        .join(named, "value")
+        .groupBy("__text_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__names"))
+    )
+
+
+def _renamed(word: Column) -> Column:
+    """The surrogate of an untitled name, also with an English genitive ending; null for any other word."""
+    ending = F.regexp_extract(word, "'s?$", 0)
+    stem = F.substr(word, F.lit(1), F.length(word) - F.length(ending))
+    return F.coalesce(F.element_at("__names", word), F.concat(F.element_at("__names", stem), ending))
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -257,18 +280,30 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     found = kept.where(some).withColumn("__found", F.regexp_extract_all(text, F.lit(ENTITY), 0))
     found = materialized(found.withColumn("__text_id", F.sha2(F.col(text).cast("binary"), 256)), "texts-with-entities")
     said = found.select("__text_id", F.explode("__found").alias("value")).distinct()
-    surrogates = entity_surrogates(said.select("value").distinct(), key)
+    surrogates, named = entity_surrogates(said.select("value").distinct(), key)
     by_text = (
         said.join(surrogates, "value")
         .groupBy("__text_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__surrogates"))
+        .join(_names_by_text(said, named), "__text_id", "left")
         .withColumnRenamed("__text_id", "__of")
     )
     joined = found.join(materialized(by_text, "surrogates-by-text"), F.col("__text_id") == F.col("__of"))
     put = F.transform("__found", lambda e: F.element_at("__surrogates", e))
-    between = F.split(text, ENTITY, -1)
+    parts = F.split(text, ENTITY, -1)
+    words = lambda part: F.regexp_extract_all(part, F.lit(NAME), 0)
+
+    def without_names(part: Column) -> Column:
+        new = F.transform(words(part), lambda w: F.coalesce(_renamed(w), w))
+        kept_parts = F.split(part, NAME, -1)
+        return F.array_join(F.zip_with(kept_parts, F.concat(new, F.array(F.lit(""))), lambda b, w: F.concat(b, w)), "")
+
+    has_names = F.col("__names").isNotNull()
+    between = F.when(has_names, F.transform(parts, without_names)).otherwise(parts)
+    untitled = F.flatten(F.transform(parts, lambda part: F.filter(words(part), lambda w: _renamed(w).isNotNull())))
+    n_untitled = F.when(has_names, F.size(untitled)).otherwise(0)
     woven = F.zip_with(between, F.concat(put, F.array(F.lit(""))), lambda b, e: F.concat(b, e))
-    out = joined.withColumn("__new", F.array_join(woven, "")).withColumn("n_entities", F.size("__found").cast("bigint"))
+    out = joined.withColumn("__new", F.array_join(woven, "")).withColumn("n_entities", (F.size("__found") + n_untitled).cast("bigint"))
     replaced = out.select(*[F.col("__new").alias(c) if c == text else F.col(c) for c in own], "n_entities")
     return clean.unionByName(replaced)
 

@@ -121,3 +121,26 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = P.pii_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_values_and_untitled_mentions_go_whole(spark):
+    secret = "aB3" * 400
+    names = " ".join("Zorg" for _ in range(3000))
+    rows = [
+        (1, f"token={secret}. end", "", ""),
+        (2, "Mr Jean Baptiste Emmanuel Zorg came", "", ""),
+        (3, "Mrs Ana Roe left. Later Roe, and Ana: Roe's car. Other Roebuck", "", ""),
+        (4, f"Mr {names} x", "", ""),
+        (5, "Roe is no person here, call 333-555-8558", "", ""),
+        (6, f"Mr {'Q' + 'q' * 60} x", "", ""),
+    ]
+    got = {r.doc_id: r for r in P.replace_entities(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    new = got[1].text.removeprefix("token=").removesuffix(". end")
+    assert len(new) == len(secret) and not any(new[k : k + 12] == secret[k : k + 12] for k in range(0, len(secret), 12))
+    assert not set(got[2].text.split()[1:-1]) & {"Jean", "Baptiste", "Emmanuel", "Zorg"} and len(got[2].text.split()) == 6
+    found = re.fullmatch(r"Mrs (\w+) (\w+) left\. Later (\w+), and (\w+): (\w+)'s car\. Other Roebuck", got[3].text)
+    ana, roe = found[1], found[2]
+    assert (found[3], found[4], found[5]) == (roe, ana, roe) and ana != "Ana" and roe != "Roe" and got[3].n_entities == 4
+    assert "Zorg" not in got[4].text and got[4].n_entities == 1
+    assert got[5].text.startswith("Roe is") and got[5].n_entities == 1
+    assert "q" * 30 not in got[6].text
