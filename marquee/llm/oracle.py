@@ -205,6 +205,38 @@ SELECT page_id, host, path, rule,
 FROM fitting
 """
 
+
+def _clustering(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's rounds, one group of common table expressions each, comparing all pairs of vector and centroid."""
+    placed = """a{0} AS MATERIALIZED (
+  SELECT r, min(d) AS d, arg_min(c, (d, c)) AS c FROM (
+    SELECT kept.r, centre.c, list_sum(list_transform(list_zip(kept.x, centre.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM kept, c{0} centre) GROUP BY r
+)"""
+    moved = """c{1} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.x, o.x) AS x FROM c{0} o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY at) AS x FROM (
+      SELECT c, at, sum(v)::BIGINT AS s, count(*)::BIGINT AS n
+      FROM (SELECT a.c, unnest(range(64)) AS at, unnest(kept.x) AS v FROM a{0} a JOIN kept ON kept.r = a.r)
+      GROUP BY c, at) GROUP BY c) m ON m.c = o.c
+)"""
+    steps = [part.format(i, i + 1) for i in range(rounds) for part in (placed, moved)] + [placed.format(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64 AND len(embedding) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS c, x FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), x) <= {k}
+), {", ".join(steps)}
+SELECT kept.vec_id, a.c::INT AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(a.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(centre.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept ON kept.r = a.r JOIN c{rounds} centre ON centre.c = a.c
+"""
+
+
+OP13_CENTROIDS = _clustering()
+
 SQL = {
     "op1_lm_scoring": OP1_LM_SCORING,
     "op2_sharding": OP2_SHARDING,
@@ -212,4 +244,5 @@ SQL = {
     "op4_mixing": OP4_MIXING,
     "op8_near_dups": OP8_NEAR_DUPS,
     "op9_url_filter": OP9_URLS,
+    "op13_centroids": OP13_CENTROIDS,
 }
