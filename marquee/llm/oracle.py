@@ -215,10 +215,10 @@ def _clustering(k: int = 8, rounds: int = 10) -> str:
 )"""
     moved = """c{1} AS MATERIALIZED (
   SELECT o.c, coalesce(m.x, o.x) AS x FROM c{0} o LEFT JOIN (
-    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY at) AS x FROM (
-      SELECT c, at, sum(v)::BIGINT AS s, count(*)::BIGINT AS n
-      FROM (SELECT a.c, unnest(range(64)) AS at, unnest(kept.x) AS v FROM a{0} a JOIN kept ON kept.r = a.r)
-      GROUP BY c, at) GROUP BY c) m ON m.c = o.c
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x FROM (
+      SELECT c, pos, sum(v)::BIGINT AS s, count(*)::BIGINT AS n
+      FROM (SELECT a.c, unnest(range(64)) AS pos, unnest(kept.x) AS v FROM a{0} a JOIN kept ON kept.r = a.r)
+      GROUP BY c, pos) GROUP BY c) m ON m.c = o.c
 )"""
     steps = [part.format(i, i + 1) for i in range(rounds) for part in (placed, moved)] + [placed.format(rounds)]
     return f"""
