@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from marquee.llm import centroids, decontam, lm_scoring, mixing, near_dups, oracle, packing, pii, pu, quality_rules, sharding, urls, whitening
+from marquee.llm import centroids, decontam, lm_scoring, mixing, near_dups, oracle, packing, pii, pu, quality_rules, repeats, sharding, urls, whitening
 from marquee.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_report(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op8_near_dups": op8_near_dups,
         "op9_url_filter": op9_url_filter,
         "op10_pii": op10_pii,
+        "op11_repeats": op11_repeats,
         "op12_whitening": op12_whitening,
         "op13_centroids": op13_centroids,
         "pipeline": corpus_pipeline.run,

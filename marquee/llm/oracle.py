@@ -237,6 +237,35 @@ FROM a{rounds} a JOIN kept ON kept.r = a.r JOIN c{rounds} centre ON centre.c = a
 
 OP13_CENTROIDS = _clustering()
 
+OP11_REPEATS = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(encode(text), ''::BLOB) AS b FROM documents
+), windows AS (
+  SELECT r, p, md5(b[p:p + 399]) AS h
+  FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS p FROM docs WHERE octet_length(b) >= 400)
+), twice AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1
+), marked AS (
+  SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM twice
+), numbered AS (
+  SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p ROWS UNBOUNDED PRECEDING) AS g FROM marked
+), spans AS (
+  SELECT r, g, min(p) AS lo, max(p) + 399 AS hi FROM numbered GROUP BY r, g
+), left_over AS (
+  SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) + 1 AS a, lo - 1 AS z FROM spans
+  UNION ALL
+  SELECT r, max(hi) + 1, NULL FROM spans GROUP BY r
+), rest AS (
+  SELECT l.r, sha256(unhex(string_agg(hex(d.b[l.a:coalesce(l.z, octet_length(d.b))]), '' ORDER BY l.a))) AS sha
+  FROM left_over l JOIN docs d ON d.r = l.r WHERE l.a <= coalesce(l.z, octet_length(d.b)) GROUP BY l.r
+), sums AS (
+  SELECT r, sum(hi - lo + 1) AS removed, count(*) AS n FROM spans GROUP BY r
+)
+SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(s.removed, 0)::BIGINT AS n_removed, coalesce(s.n, 0)::BIGINT AS n_spans,
+       CASE WHEN s.r IS NULL THEN sha256(d.b) ELSE coalesce(rest.sha, sha256(''::BLOB)) END AS kept_sha256
+FROM docs d LEFT JOIN sums s ON s.r = d.r LEFT JOIN rest ON rest.r = d.r
+"""
+
 SQL = {
     "op1_lm_scoring": OP1_LM_SCORING,
     "op2_sharding": OP2_SHARDING,
@@ -244,5 +273,6 @@ SQL = {
     "op4_mixing": OP4_MIXING,
     "op8_near_dups": OP8_NEAR_DUPS,
     "op9_url_filter": OP9_URLS,
+    "op11_repeats": OP11_REPEATS,
     "op13_centroids": OP13_CENTROIDS,
 }
