@@ -3,6 +3,8 @@
 A sample is chosen by a hash of the id (lowest hashes first), so it is the
 same on every run and its ids are at most ``bound`` rows: they are broadcast
 to one scan of the documents, and only their feature rows reach the driver.
+An id that repeats in the documents gives one row, that of its text with the
+smallest hash, so no id can push out another.
 """
 
 from __future__ import annotations
@@ -37,20 +39,13 @@ def _features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(list(docstats.stats(texts)[1]), pa.list_(pa.float64()))
 
 
-def sample_features(docs: DataFrame, sample: DataFrame, bound: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """(features, other columns of ``sample``) of the sample's documents, in an order fixed by the rows.
-
-    ``bound`` limits the rows here as well, for ids that repeat in ``docs``.
-    """
+def sample_features(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """(features, other columns of ``sample``), one row per id of the sample that ``docs`` hold, in an order fixed by the rows."""
     others = [c for c in sample.columns if c != "doc_id"]
     picked = sample.withColumnRenamed("doc_id", "__id")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
-    found = (
-        rows.withColumn("x", _features("text"))
-        .select("doc_id", F.xxhash64("text").alias("h"), "x", *others)
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "h")
-        .limit(bound)
-        .toArrow()
-    )
+    featured = rows.withColumn("x", _features("text")).select("doc_id", F.xxhash64("text").alias("h"), "x", *others)
+    one = featured.groupBy("doc_id").agg(F.min(F.struct("h", "x", *others)).alias("one"))
+    found = one.select("doc_id", "one.x", *[f"one.{c}" for c in others]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     x = np.array(found["x"].to_pylist(), dtype=np.float64).reshape(-1, len(docstats.FEATURES))
     return x, {c: found[c].to_numpy() for c in others}

@@ -158,7 +158,7 @@ def train_quality(
         labelled.hash_sample(web, unlabelled).select("doc_id", F.lit(0).alias("pos"), F.lit(1).alias("unl"))
     )
     both = marked.groupBy("doc_id").agg(F.max("pos").alias("pos"), F.max("unl").alias("unl"))
-    x, role = labelled.sample_features(docs, both, positives + unlabelled)
+    x, role = labelled.sample_features(docs, both)
     return learn(x, role["pos"] == 1, role["unl"] == 1)
 
 

@@ -30,7 +30,7 @@ MONOTONE = {"symbol_share": -1, "dup_line_share": -1, "repeat_share": -1}
 
 def train_rules(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> trees.Forest:
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where(F.col("y").isin(0, 1))
-    x, other = labelled.sample_features(docs, labelled.hash_sample(marked, train_rows), train_rows)
+    x, other = labelled.sample_features(docs, labelled.hash_sample(marked, train_rows))
     monotone = {docstats.FEATURES.index(name): sign for name, sign in MONOTONE.items()}
     return trees.train(x, other["y"].astype(float), monotone)
 

@@ -47,10 +47,11 @@ def train(
 ) -> Forest:
     """Fits P(y = 1); ``monotone[f]`` of +1 or -1 makes it rise or fall in feature ``f``.
 
-    Without rows, or with one class only, the forest is its prior alone.
+    Without rows of both classes nothing can be told, so every probability is 0.5.
     """
+    both = len(np.unique(y)) == 2
     prior = (y.sum() + 1.0) / (len(y) + 2.0)
-    base = float(np.log(prior / (1 - prior)))
+    base = float(np.log(prior / (1 - prior))) if both else 0.0
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, n_bins + 1)[1:-1])) if len(x) else np.zeros(0) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     sign = np.array([monotone.get(f, 0) for f in range(x.shape[1])])
@@ -105,7 +106,7 @@ def train(
         ints = [table[:, c].astype(np.int32) for c in (0, 2, 3)]
         return Forest(np.array(of, np.int32), ints[0], table[:, 1], ints[1], ints[2], table[:, 4], depth, base)
 
-    if len(np.unique(y)) == 2:
+    if both:
         for _ in range(n_trees):
             p = 1.0 / (1.0 + np.exp(-margin))
             roots.append(grow(np.arange(len(y)), p - y, p * (1 - p), 0, -4.0, 4.0))

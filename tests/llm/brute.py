@@ -34,8 +34,8 @@ def shingles(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def components(docs):
-    """{doc_id: smallest linked doc_id}; docs: {doc_id: text}."""
+def components(docs, percent=85):
+    """{doc_id: smallest linked doc_id} from that similarity on; docs: {doc_id: text}."""
     sets = {i: shingles(t) for i, t in docs.items()}
     parent = {i: i for i in docs}
 
@@ -48,7 +48,7 @@ def components(docs):
     for n, i in enumerate(ids):
         for j in ids[:n]:
             a, b = sets[i], sets[j]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = top(i), top(j)
                 parent[max(x, y)] = min(x, y)
     return {i: top(i) for i in ids}

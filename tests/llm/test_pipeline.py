@@ -44,7 +44,7 @@ def test_quality_stage(spark, sf_dir, steps):
 
 def test_near_dedup_stage(steps):
     before = {r.doc_id: r for r in steps[1].collect()}
-    first = B.components({k: r.text for k, r in before.items()})
+    first = B.components({k: r.text for k, r in before.items()}, percent=80)
     assert {tuple(r) for r in steps[2].collect()} == {tuple(r) for k, r in before.items() if first[k] == k}
 
 

@@ -71,6 +71,24 @@ def test_keeping_good_rows_without_labels_and_empty(spark):
     assert quality_rules.rules_report(df.where("false"), none).count() == 0
 
 
+def test_labels_of_one_class_leave_the_verdict_to_the_limits(spark):
+    docs, _ = corpus(60)
+    df = spark.createDataFrame(docs + edge_rows(), SCHEMA)
+    fine = {d for d, t, *_ in docs + edge_rows() if B.base_counts(t)[0] >= 50 and 2 * B.base_counts(t)[4] <= B.base_counts(t)[0]}
+    for quality in (0, 1):
+        labels = spark.createDataFrame([(d, quality, "") for d, *_ in docs], LABELS)
+        assert {r.doc_id for r in quality_rules.keep_good(df, labels).collect()} == fine
+
+
+def test_an_id_on_very_many_rows_is_one_row_of_the_sample(spark):
+    docs, labels = corpus(150)
+    hot = [(7, f"{docs[7][1]} {k}", "s", "k", "q", "n") for k in range(400)]
+    df = spark.createDataFrame(docs + hot, SCHEMA)
+    sample = labelled.hash_sample(spark.createDataFrame(labels, LABELS).select("doc_id", F.col("quality").alias("y")), 150)
+    x, other = labelled.sample_features(df, sample)
+    assert len(x) == 150 and other["y"].sum() == sum(q for _, q, _ in labels)
+
+
 def test_trees_keep_monotone_and_match_a_walk_of_the_nodes():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(800, 4))
