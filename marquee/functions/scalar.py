@@ -26,12 +26,12 @@ def strip_ws(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
 
 
-def is_header(line: Column | str, *first_column_names: str) -> Column:
-    """Case-insensitive prefix test on the stripped line (applied to every line)."""
+def is_header(line: Column | str, *first_column_names: str, anywhere: bool = False) -> Column:
+    """Case-insensitive test whether the stripped line starts with (``anywhere``: holds) one of the names."""
     stripped = F.lower(strip_ws(line))
     cond = F.lit(False)
     for name in first_column_names:
-        cond = cond | stripped.startswith(name.lower())
+        cond = cond | (stripped.contains(name.lower()) if anywhere else stripped.startswith(name.lower()))
     return cond
 
 
@@ -44,6 +44,17 @@ def to_double(c: Column | str) -> Column:
     return F.when(~text.rlike(r"[0-9.][fFdD]\s*$"), _try_cast(text, "double"))
 
 
+def to_java_double(c: Column | str) -> Column:
+    """String to double by the grammar of ``Double.parseDouble``; anything else becomes NULL.
+
+    Unlike :func:`to_double` it takes type suffixes (``4.5f``, ``4.5d``), and
+    of the special words only the exact ``NaN`` and ``Infinity``.
+    """
+    text = _col(c)
+    any_word, exact = text.rlike(r"(?i)^\s*[+-]?(?:inf|infinity|nan)\s*$"), text.rlike(r"^\s*[+-]?(?:Infinity|NaN)\s*$")
+    return F.when(~any_word | exact, _try_cast(text, "double"))
+
+
 def to_int(c: Column | str) -> Column:
     return _try_cast(_col(c), "int")
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 16
+POSITION = "position"  # order of lines, from a scan with positions
 
 
 def word_list_frame(spark: SparkSession, words: Sequence[str], column: str = "word") -> DataFrame:
@@ -26,11 +27,29 @@ def word_list_frame(spark: SparkSession, words: Sequence[str], column: str = "wo
     return spark.createDataFrame(pa.table({column: pa.array(words, pa.string())}))
 
 
-def one_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
-    """``dim`` as (key, value) with one row per key: the largest value in text order.
+def last_per_key(dim: DataFrame, key: str, order: str = POSITION) -> DataFrame:
+    """``dim`` with one row per key, the last one by ``order``, as a map filled line by line keeps it.
 
-    A frame has no "last line", so a repeated key is settled by this order.
+    The order column is dropped. Partial aggregation leaves one row per key
+    and task before the exchange, however often a key is repeated.
     """
+    others = [c for c in dim.columns if c not in (key, order)]
+    last = dim.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("__last"))
+    return last.select(key, *[F.col("__last")[c].alias(c) for c in others])
+
+
+def listed_once(dim: DataFrame, key: str, *fields: str) -> DataFrame:
+    """(key, fields) of a dimension: the last line per key if the lines' positions are known, else all of it."""
+    if POSITION in dim.columns:
+        return last_per_key(dim.select(key, *fields, POSITION), key)
+    return dim.select(key, *fields)
+
+
+def one_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """``dim`` as (key, value) with one row per key: that of the last line, if
+    the lines' positions are known, else the largest value in text order."""
+    if POSITION in dim.columns:
+        return listed_once(dim, key, value)
     return dim.groupBy(key).agg(F.max(value).alias(value))
 
 

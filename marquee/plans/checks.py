@@ -103,9 +103,11 @@ def ingest_movies_second_field(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ingest_ratings_three_fields(spark: SparkSession, d: str) -> DataFrame:
-    """Ratings that need no timestamp: lines without one, or with a bad one, stay."""
+    """Ratings that need no timestamp: lines without one, or with a bad one, stay, and so do numbers with a type suffix."""
     li = T.table(spark, d, "lineitem")
-    fields = [F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), F.col("l_quantity").cast("string")]
+    suffix = F.when(F.col("l_linenumber") == 1, F.lit("f")).when(F.col("l_linenumber") == 2, F.lit("D")).otherwise(F.lit(""))
+    quantity = F.concat(F.col("l_quantity").cast("string"), suffix)
+    fields = [F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), quantity]
     line = F.when(F.col("l_tax") == 0, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, F.lit("x")))
     lines = li.select(line.alias("value")).unionByName(_noise(spark, RATING_NOISE))
     return REC.ingest_ratings(lines, min_fields=3).rows.select("user_id", "movie_id", "rating")
@@ -138,6 +140,81 @@ def movie_lines_by_id(spark: SparkSession, d: str) -> DataFrame:
     return ranked.select("rank", line.alias("line"))
 
 
+def _write_in_order(lines: DataFrame, spark: SparkSession, name: str) -> str:
+    """(value, file, seq) as text files, one per ``file``, with their lines in order of ``seq``."""
+    path = scratch_path(spark, name)
+    ordered = lines.repartition("file").sortWithinPartitions("file", "seq").select("value", "file")
+    ordered.write.partitionBy("file").text(path)
+    return path
+
+
+def _listing_files(spark: SparkSession, d: str) -> list[str]:
+    """Two folders of movie files in which many movies are listed again further down, or in the second folder.
+
+    A file holds the parts of 200 numbers. Every third one starts with a blank
+    line and a header, every third with a line that holds the header's name
+    further on; all have a header-like line among the records.
+    """
+    part = T.table(spark, d, "part")
+    file = F.floor(F.col("p_partkey") / 200)
+    genres, key = F.regexp_replace("p_name", " ", "|"), F.col("p_partkey").cast("string")
+
+    def listed(rows: DataFrame, title, seq) -> DataFrame:
+        return rows.select(F.concat_ws(",", key, title, genres).alias("value"), file.alias("file"), seq.alias("seq"))
+
+    files = part.select(file.alias("file")).distinct()
+    top = F.when(F.col("file") % 3 == 0, F.lit("MovieID,Title,Genres")).otherwise(F.lit("List of MovieID,and title,and genres"))
+    first = listed(part.where("p_size <= 40"), F.col("p_name"), F.col("p_partkey"))
+    first = first.unionAll(listed(part.where("p_size <= 25"), F.col("p_type"), 10**12 - F.col("p_partkey")))
+    first = first.unionAll(files.where("file % 3 < 2").select(top.alias("value"), "file", F.lit(-1).cast("bigint").alias("seq")))
+    first = first.unionAll(files.where("file % 3 = 0").select(F.lit("  ").alias("value"), "file", F.lit(-2).cast("bigint").alias("seq")))
+    middle = F.concat(F.lit("movieid "), F.col("file").cast("string"), F.lit(",middle,a|b"))
+    first = first.unionAll(files.select(middle.alias("value"), "file", (F.col("file") * 200 + 100).alias("seq")))
+    second = listed(part.where("p_size <= 10"), F.col("p_brand"), F.col("p_partkey"))
+    return [_write_in_order(first, spark, "listing_1"), _write_in_order(second, spark, "listing_2")]
+
+
+def ingest_movies_first_line(spark: SparkSession, d: str) -> DataFrame:
+    """The header test on the first non-blank line of each file only; header-like lines further down are records."""
+    lines = REC.scan_lines(spark, _listing_files(spark, d), first_line=True)
+    rows = REC.ingest_movies(lines, first_line_only=True).rows
+    return rows.select("movie_id", "title", F.array_join("genres", "|").alias("genres"))
+
+
+def ingest_movies_first_line_contains(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the form that looks for the header's name anywhere in the line."""
+    lines = REC.scan_lines(spark, _listing_files(spark, d), first_line=True)
+    rows = REC.ingest_movies(lines, first_line_only=True, header_form="contains").rows
+    return rows.select("movie_id", "title", F.array_join("genres", "|").alias("genres"))
+
+
+def _listed_movies(spark: SparkSession, d: str) -> DataFrame:
+    return REC.ingest_movies(REC.scan_lines(spark, _listing_files(spark, d), position=True)).rows
+
+
+def movie_rating_stats_last_listed(spark: SparkSession, d: str) -> DataFrame:
+    """Per-movie statistics with the title that was listed last; movies never listed fall back to the id."""
+    return R.movie_rating_stats(T.ratings(spark, d), _listed_movies(spark, d), ordered=False)
+
+
+def genre_rating_stats_last_listed(spark: SparkSession, d: str) -> DataFrame:
+    """Per-genre statistics with each movie's genres as listed last: a repeated movie counts once."""
+    movies = _listed_movies(spark, d)
+    last_word = F.slice("genres", -1, 1)
+    retitled = movies.withColumn("genres", F.when(F.col("title").startswith("Brand"), last_word).otherwise(F.col("genres")))
+    return R.genre_rating_stats(T.ratings(spark, d), retitled, ordered=False)
+
+
+def ingest_user_ages(spark: SparkSession, d: str) -> DataFrame:
+    """Id-to-age lookup: three fields are enough, and an age that is no number rejects the line."""
+    c = T.table(spark, d, "customer")
+    key, gender = F.col("c_custkey").cast("string"), F.substring("c_mktsegment", 1, 1)
+    age = F.when(F.col("c_nationkey") % 3 == 0, F.lit("xx")).otherwise(F.floor(F.col("c_acctbal") / 100).cast("string"))
+    line = F.when(F.col("c_nationkey") % 5 == 0, F.concat_ws(",", key, gender)).otherwise(F.concat_ws(",", key, gender, age))
+    lines = c.select(line.alias("value")).unionByName(_noise(spark, USER_NOISE))
+    return REC.ingest_users(lines, min_fields=3).rows.select("user_id", "age")
+
+
 def ingest_ratings(spark: SparkSession, d: str) -> DataFrame:
     lines = _rating_lines(spark, d).select("value").unionByName(_noise(spark, RATING_NOISE))
     return REC.ingest_ratings(lines).rows
@@ -464,7 +541,8 @@ def op_header_test(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     fns = [
         scan_lines, union_ratings, ingest_movies, ingest_quoted, ingest_ratings, ingest_users,
-        ingest_movies_second_field, ingest_ratings_three_fields, ingest_user_genders, ingest_reviews_comma,
+        ingest_movies_second_field, ingest_ratings_three_fields, ingest_user_genders, ingest_user_ages, ingest_movies_first_line, ingest_movies_first_line_contains,
+        movie_rating_stats_last_listed, genre_rating_stats_last_listed, ingest_reviews_comma,
         movie_lines_by_id, ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
         sink_tsv, sink_csv, sink_overwrite, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
         op_inner_join, op_broadcast_join, op_left_lookup, op_left_outer, op_left_anti, op_group_count,

@@ -178,6 +178,23 @@ SELECT topic, word, freq FROM r WHERE rn <= 5""",
     }
 
 
+LISTED = """listed AS (
+  SELECT 0 AS path, p_partkey AS seq, p_partkey, p_name AS title, p_name FROM part WHERE p_size <= 40
+  UNION ALL SELECT 0, 1000000000000 - p_partkey, p_partkey, p_type, p_name FROM part WHERE p_size <= 25
+  UNION ALL SELECT 1, p_partkey, p_partkey, p_brand, p_name FROM part WHERE p_size <= 10),
+last_listed AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS movie_id, arg_max(title, path * 1000000000000000 + seq) AS title, any_value(p_name) AS p_name
+  FROM listed GROUP BY p_partkey)"""
+
+
+def _first_line_rows(header_kept: str) -> str:
+    """Rows of the listing files; the second kind of header line is a record unless its form is looked for."""
+    return f"""WITH {LISTED}, files AS (SELECT DISTINCT CAST(floor(p_partkey / 200) AS BIGINT) AS file FROM part)
+SELECT CAST(p_partkey AS VARCHAR) AS movie_id, title, replace(p_name, ' ', '|') AS genres FROM listed
+UNION ALL SELECT 'movieid ' || file, 'middle', 'a|b' FROM files
+UNION ALL SELECT 'List of MovieID', 'and title', 'and genres' FROM files WHERE {header_kept}"""
+
+
 RATING_ROWS = """SELECT CAST(l_orderkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
        l_quantity AS rating, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem"""
 
@@ -210,6 +227,19 @@ UNION ALL SELECT '1', '2', 3.0 UNION ALL SELECT '1', '2', 4.0 UNION ALL SELECT '
        CASE WHEN c_nationkey % 2 <> 0 AND c_nationkey % 3 <> 0 THEN CAST(floor(c_acctbal / 100) AS INTEGER) END AS age
 FROM customer
 UNION ALL SELECT '5', 'F', NULL UNION ALL SELECT '6', 'M', 30""",
+        "ingest_user_ages": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, CAST(floor(c_acctbal / 100) AS INTEGER) AS age
+FROM customer WHERE c_nationkey % 5 <> 0 AND c_nationkey % 3 <> 0
+UNION ALL SELECT '6', 30""",
+        "ingest_movies_first_line": _first_line_rows("file % 3 = 1"),
+        "ingest_movies_first_line_contains": _first_line_rows("FALSE"),
+        "movie_rating_stats_last_listed": f"""WITH {RATINGS}, {LISTED},
+stats AS (SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n FROM ratings GROUP BY movie_id)
+SELECT s.movie_id, coalesce(l.title, s.movie_id) AS title, s.avg_rating, s.n
+FROM stats s LEFT JOIN last_listed l ON l.movie_id = s.movie_id""",
+        "genre_rating_stats_last_listed": f"""WITH {RATINGS}, {LISTED}, genres AS (
+  SELECT movie_id, unnest(CASE WHEN starts_with(title, 'Brand') THEN string_split(p_name, ' ')[-1:] ELSE string_split(p_name, ' ') END) AS genre
+  FROM last_listed)
+SELECT g.genre, avg(r.rating) AS avg_rating, count(*) AS n FROM ratings r JOIN genres g ON g.movie_id = r.movie_id GROUP BY g.genre""",
         "ingest_reviews_comma": f"""WITH {REVIEWS}
 SELECT regexp_replace(review, '[,\r\n]', ' ', 'g') AS review, topic, aspect, sentiment FROM reviews""",
         "movie_lines_by_id": f"""WITH {RATINGS}, {MOVIES}, {MOVIE_STATS}

@@ -20,6 +20,9 @@ Plan shape, for data far larger than memory:
   has collapsed to one row;
 * pivots over a fixed category list are conditional aggregates (one
   exchange);
+* a dimension read with line positions counts with its last line per key, as
+  in a map filled line by line; without positions a repeated key multiplies
+  (titles: the largest one counts);
 * no broadcast hints: AQE broadcasts a dimension when its runtime size is
   under the threshold and otherwise keeps a shuffle join (and splits skewed
   partitions).
@@ -41,7 +44,7 @@ from marquee.operators.aggregate import (
     merge_sum_count,
     sum_count,
 )
-from marquee.operators.join import lookup_with_fallback, one_per_key, salted_join
+from marquee.operators.join import listed_once, lookup_with_fallback, one_per_key, salted_join
 from marquee.operators.topk import top_one
 
 # Gender codes and their column prefixes, in report order.
@@ -59,7 +62,7 @@ def _titles(movies: DataFrame) -> DataFrame:
 def _with_users(ratings: DataFrame, users: DataFrame, field: str) -> DataFrame:
     """Ratings with one user field; a user with very many ratings is split by movie."""
     slim = ratings.select("user_id", "movie_id", "rating")
-    return salted_join(slim, users.select("user_id", field), "user_id", "movie_id")
+    return salted_join(slim, listed_once(users, "user_id", field), "user_id", "movie_id")
 
 
 def movie_rating_stats(
@@ -143,7 +146,7 @@ def genre_rating_stats(ratings: DataFrame, movies: DataFrame, ordered: bool = Tr
     Ratings of movies missing from ``movies`` are dropped (inner join).
     """
     per_movie = sum_count(ratings, ["movie_id"])
-    by_genre = per_movie.join(movies.select("movie_id", "genres"), "movie_id").select(
+    by_genre = per_movie.join(listed_once(movies, "movie_id", "genres"), "movie_id").select(
         F.explode("genres").alias("genre"), "rating_sum", "rating_n"
     )
     out = merge_sum_count(by_genre, ["genre"])
@@ -226,8 +229,8 @@ def occupation_rating_stats(
     per user.
     """
     per_user = sum_count(ratings, ["user_id"])
-    chain = per_user.join(users.select("user_id", "occupation_id"), "user_id").join(
-        occupations.select("occupation_id", "occupation_name"), "occupation_id"
+    chain = per_user.join(listed_once(users, "user_id", "occupation_id"), "user_id").join(
+        listed_once(occupations, "occupation_id", "occupation_name"), "occupation_id"
     )
     out = merge_sum_count(chain, ["occupation_name"])
     return out.orderBy("occupation_name") if ordered else out

@@ -11,7 +11,8 @@ Rules, applied to every line:
 * the line is stripped of surrounding whitespace (CR included);
 * a blank line is rejected (``blank``);
 * a line whose lower-cased text starts with the header name of the first
-  column is rejected (``header``), on every line, not only the first;
+  column is rejected (``header``), on every line; :func:`ingest_movies` can
+  limit the test to the first non-blank line of each file;
 * fewer fields than required: ``too_few_fields``;
 * a number that does not parse: ``bad_number``;
 * a required text field that is blank: ``blank_field``.
@@ -21,16 +22,24 @@ double quote may hold commas, and its quotes are removed (``""`` is one
 quote); a quote inside a field is an ordinary character. It is the default
 of the full record forms; the reduced forms (``title_mode="second_field"``,
 fewer ``min_fields``) split on every comma unless told otherwise.
+
+Lines that were scanned with their position keep it as the column
+``position``, by which the reports let the last line of a repeated key win.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.scalar import in_calendar, is_header, strip_ws, to_double, to_int, to_long
+from marquee.functions.scalar import in_calendar, is_header, strip_ws, to_double, to_int, to_java_double, to_long
 from marquee.functions.text import split_list
 
 # Header names of the first column, compared as a lower-case prefix.
@@ -57,9 +66,67 @@ class Ingested:
     tagged: DataFrame
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All lines of one or more text files as one frame (bag union of the files)."""
-    return spark.read.text(paths if isinstance(paths, list) else [paths])
+def scan_lines(spark: SparkSession, paths: str | list[str], position: bool = False, first_line: bool = False) -> DataFrame:
+    """All lines of one or more text files as one frame (bag union of the files).
+
+    ``position`` adds a struct that orders the lines as they are read one after
+    the other: place of the path in ``paths``, file, start of the split in the
+    file, place in the split. It costs nothing: a split is read in order by one
+    task. ``first_line`` adds a flag on the first non-blank line of each file.
+    """
+    listed = paths if isinstance(paths, list) else [paths]
+    if not (position or first_line):
+        return spark.read.text(listed)
+    frames = []
+    for number, path in enumerate(listed):
+        lines = spark.read.text(path)
+        said = ["value"]
+        if position:
+            where = F.struct(
+                F.lit(number).alias("path"),
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("line"),
+            )
+            lines = lines.withColumn("position", where)
+            said.append("position")
+        if first_line:
+            lines = mark_first_lines(lines, said)
+        frames.append(lines)
+    return reduce(DataFrame.unionByName, frames)
+
+
+def mark_first_lines(lines: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` of a text scan's lines, and ``first_line``: the first non-blank line of its file.
+
+    A file starts in the split that starts at 0, and a task reads a split's
+    lines in order, so one pass over the batches finds it: no shuffle, no task
+    per file. A first split of blank lines only has no such line.
+    """
+    scanned = lines.select(*keep, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scanned.schema.fields if f.name in keep)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        looking_in = None  # the file whose first line is still to come, or was found (False)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file = pc.dictionary_encode(batch["__file"])
+            codes, names = file.indices.to_numpy(), file.dictionary
+            starts = batch["__start"].to_numpy()
+            said = pc.not_equal(pc.utf8_trim_whitespace(batch["value"]), "").to_numpy(zero_copy_only=False)
+            first = np.zeros(batch.num_rows, dtype=bool)
+            turns = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (starts[1:] != starts[:-1]))))
+            for lo, hi in zip(turns, np.concatenate((turns[1:], [batch.num_rows])), strict=True):
+                split = (names[int(codes[lo])].as_py(), int(starts[lo]))
+                if looking_in is None or looking_in[0] != split:
+                    looking_in = (split, split[1] == 0)
+                if looking_in[1] and said[lo:hi].any():
+                    first[lo + int(said[lo:hi].argmax())] = True
+                    looking_in = (split, False)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(first)], names=[*keep, "first_line"])
+
+    return scanned.mapInArrow(mark, f"{fields}, first_line boolean")
 
 
 def _fields(line: Column, quoted: bool) -> Column:
@@ -76,22 +143,35 @@ def _fields(line: Column, quoted: bool) -> Column:
 
 
 def _split_result(df: DataFrame, reason: Column, typed: list[Column]) -> Ingested:
-    tagged = df.select(*typed, F.col("value").alias("line"), reason.alias("reason"))
+    kept = [F.col(c) for c in df.columns if c == "position"]
+    tagged = df.select(*typed, *kept, F.col("value").alias("line"), reason.alias("reason"))
     names = [c for c in tagged.columns if c not in ("line", "reason")]
     rows = tagged.where(F.col("reason").isNull()).select(*names)
     rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
     return Ingested(rows, rejects, tagged)
 
 
-def _base_reason(line: Column, headers: tuple[str, ...], n: Column, min_fields: int) -> Column:
+def _base_reason(line: Column, header: Column, n: Column, min_fields: int) -> Column:
     return (
         F.when(strip_ws(line) == F.lit(""), F.lit("blank"))
-        .when(is_header(line, *headers), F.lit("header"))
+        .when(header, F.lit("header"))
         .when(n < F.lit(min_fields), F.lit("too_few_fields"))
     )
 
 
-def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool | None = None) -> Ingested:
+def _anywhere(header_form: str) -> bool:
+    if header_form not in ("prefix", "contains"):
+        raise ValueError(f"unknown header_form {header_form!r}")
+    return header_form == "contains"
+
+
+def ingest_movies(
+    lines: DataFrame,
+    title_mode: str = "rejoin",
+    quoted: bool | None = None,
+    first_line_only: bool = False,
+    header_form: str = "prefix",
+) -> Ingested:
     """``id, title, genres``: at least 3 fields; genres is the last field split on ``|``.
 
     ``title_mode="rejoin"``: the title is every field between the first and
@@ -99,7 +179,14 @@ def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool | N
     ``title_mode="second_field"``: the title is the second field only (titles
     with commas are cut). Blank genres are dropped, repeats kept. A blank id
     or title rejects the line.
+
+    ``first_line_only`` tests only the first non-blank line of each file for a
+    header (``lines`` from ``scan_lines(first_line=True)``); a header-like line
+    further down is a record like any other. ``header_form`` is ``"prefix"``,
+    or ``"contains"`` for a line that holds the name anywhere.
     """
+    is_first = F.col("first_line") if first_line_only else F.lit(True)
+    header = is_first & is_header(F.col("value"), *MOVIE_HEADER, anywhere=_anywhere(header_form))
     f = _fields(F.col("value"), title_mode == "rejoin" if quoted is None else quoted)
     n = F.size(f)
     movie_id = strip_ws(F.get(f, 0))
@@ -110,7 +197,7 @@ def ingest_movies(lines: DataFrame, title_mode: str = "rejoin", quoted: bool | N
     else:
         raise ValueError(f"unknown title_mode {title_mode!r}")
     genres = split_list(F.element_at(f, -1), "|")
-    reason = _base_reason(F.col("value"), MOVIE_HEADER, n, 3).when(
+    reason = _base_reason(F.col("value"), header, n, 3).when(
         (movie_id == F.lit("")) | (title == F.lit("")), F.lit("blank_field")
     )
     return _split_result(
@@ -122,16 +209,17 @@ def ingest_ratings(lines: DataFrame, min_fields: int = 4, quoted: bool | None =
     """``user, movie, rating, timestamp``; rating double, timestamp Unix seconds.
 
     ``min_fields=3`` accepts lines without a timestamp (ts NULL), as the
-    per-movie reports never read it.
+    per-movie reports never read it, and reads ratings by the wider grammar of
+    :func:`to_java_double` (``4.5f`` is a number there).
     """
     f = _fields(F.col("value"), min_fields >= 4 if quoted is None else quoted)
     n = F.size(f)
-    rating = to_double(strip_ws(F.get(f, 2)))
+    rating = (to_double if min_fields >= 4 else to_java_double)(strip_ws(F.get(f, 2)))
     ts_text = strip_ws(F.get(f, 3))
     ts = to_long(ts_text)
     # With fewer than 4 required fields the timestamp is never validated.
     bad_ts = ts.isNull() | ~in_calendar(ts) if min_fields >= 4 else F.lit(False)
-    reason = _base_reason(F.col("value"), RATING_HEADER, n, min_fields).when(
+    reason = _base_reason(F.col("value"), is_header(F.col("value"), *RATING_HEADER), n, min_fields).when(
         rating.isNull() | bad_ts, F.lit("bad_number")
     )
     return _split_result(
@@ -155,7 +243,7 @@ def ingest_users(lines: DataFrame, min_fields: int = 5, quoted: bool | None = No
     f = _fields(F.col("value"), min_fields >= 5 if quoted is None else quoted)
     n = F.size(f)
     age = to_int(strip_ws(F.get(f, 2)))
-    reason = _base_reason(F.col("value"), USER_HEADER, n, min_fields).when(
+    reason = _base_reason(F.col("value"), is_header(F.col("value"), *USER_HEADER), n, min_fields).when(
         age.isNull() if min_fields >= 3 else F.lit(False), F.lit("bad_number")
     )
     return _split_result(
@@ -177,7 +265,7 @@ def ingest_occupations(lines: DataFrame, quoted: bool = True) -> Ingested:
     n = F.size(f)
     occ_id = strip_ws(F.get(f, 0))
     name = strip_ws(F.array_join(F.slice(f, 2, F.greatest(n - 1, F.lit(1))), ","))
-    reason = _base_reason(F.col("value"), OCCUPATION_HEADER, n, 2).when(
+    reason = _base_reason(F.col("value"), is_header(F.col("value"), *OCCUPATION_HEADER), n, 2).when(
         (occ_id == F.lit("")) | (name == F.lit("")), F.lit("blank_field")
     )
     return _split_result(lines, reason, [occ_id.alias("occupation_id"), name.alias("occupation_name")])
