@@ -1,16 +1,19 @@
-"""Explode, and the nested bag of the first k rows per key."""
+"""Explode, the nested bag of the first k rows per key, and bags of whole groups in chunks."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import TOKEN_DELIMITERS, delimiter_pattern, split_list
 from marquee.operators.topk import top_k_per_group
 
 
+CHUNK_ROWS = 10_000
+
+
 def explode_list(
     df: DataFrame, list_col: str, out_col: str, keep: Sequence[str], separator: str | None = None
 ) -> DataFrame:
@@ -61,6 +64,36 @@ def top_k_bag(
     )
 
 
+def group_bags(
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str], chunk_rows: int = CHUNK_ROWS, bag_col: str = "bag"
+) -> DataFrame:
+    """Whole groups as bags: (keys, chunk, bag), with at most ``chunk_rows`` entries a bag.
+
+    A group is cut into chunks with different numbers (ascending, with gaps),
+    so it may be of any size: no row, and no task, ever holds more of a group
+    than one input partition had of it. Rows are numbered per key and input
+    partition; that is the only shuffle, and a hot key is dealt over as many
+    tasks as it had partitions. Equal rows and NULL keys and fields stay, as in
+    a bag. The order within a group is not defined.
+    """
+    parts = df.select(*keys, F.struct(*fields).alias("__entry"), F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__row"))
+    place = F.row_number().over(Window.partitionBy(*keys, "__part").orderBy("__row")) - 1
+    chunked = parts.withColumn("__no", F.floor(place / F.lit(chunk_rows)))
+    bags = chunked.groupBy(*keys, "__part", "__no").agg(F.collect_list("__entry").alias(bag_col))
+    number = F.col("__part").cast("bigint") * F.lit(1 << 32) + F.col("__no")
+    return bags.select(*keys, number.alias("chunk"), bag_col)
+
+
+def fold_bags(df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[Column, Column]], bag_col: str = "bag") -> DataFrame:
+    """Per-group results from chunked bags: ``{name: (of a bag, merged)}``.
+
+    The first expression works on one bag (``F.aggregate`` over ``bag_col``, or ``F.size``), the
+    second is an aggregate that merges the chunks' results, held in columns named like the measures.
+    """
+    per_chunk = df.select(*keys, *[of_bag.alias(name) for name, (of_bag, _) in measures.items()])
+    return per_chunk.groupBy(*keys).agg(*[merged.alias(name) for name, (_, merged) in measures.items()])
+
+
 def unnest_group(df: DataFrame, keys: Sequence[str], bag_col: str = "bag") -> DataFrame:
     """Flatten a bag of structs back into rows (``inline``)."""
     return df.select(*keys, F.inline(F.col(bag_col)))

@@ -16,7 +16,7 @@ from marquee.functions.scalar import age_group, is_header, strip_ws
 from marquee.functions.text import clean_text, lower_trim, tokenize
 from marquee.operators.aggregate import avg_count, count_non_null
 from marquee.operators.join import anti_join, left_outer, lookup_with_fallback
-from marquee.operators.reshape import explode_list, explode_tokens, top_k_bag, unnest_group
+from marquee.operators.reshape import explode_list, explode_tokens, fold_bags, group_bags, top_k_bag, unnest_group
 from marquee.operators.topk import top_one, with_order_rank
 from marquee.plans import ratings as R
 from marquee.plans import reviews as V
@@ -448,6 +448,30 @@ def op_nested_group(spark: SparkSession, d: str) -> DataFrame:
     return unnest_group(bags, ["c_mktsegment"])
 
 
+def op_group_bags(spark: SparkSession, d: str) -> DataFrame:
+    """All customers of each market segment as bags of at most 100 entries, flattened again."""
+    c = T.table(spark, d, "customer")
+    return unnest_group(group_bags(c, ["c_mktsegment"], ["c_custkey", "c_acctbal"], chunk_rows=100), ["c_mktsegment"])
+
+
+def op_group_bag_stats(spark: SparkSession, d: str) -> DataFrame:
+    """From the bags of all order lines of each supplier: entries, returned ones, smallest and largest quantity;
+    chunks over their limit, and chunk numbers given twice (none)."""
+    lines = T.table(spark, d, "lineitem")
+    bags = group_bags(lines, ["l_suppkey"], ["l_quantity", "l_returnflag"], chunk_rows=50)
+    quantity = F.transform("bag", lambda e: e["l_quantity"])
+    returned = F.size(F.filter("bag", lambda e: e["l_returnflag"] == F.lit("R")))
+    measures = {
+        "n": (F.size("bag"), F.sum("n")),
+        "n_returned": (returned, F.sum("n_returned")),
+        "least": (F.array_min(quantity), F.min("least")),
+        "most": (F.array_max(quantity), F.max("most")),
+        "too_long": ((F.size("bag") > 50).cast("int"), F.sum("too_long")),
+        "twice": (F.col("chunk"), F.count("twice") - F.count_distinct("twice")),
+    }
+    return fold_bags(bags, ["l_suppkey"], measures)
+
+
 def op_distinct(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "orders").select("o_custkey", "o_orderstatus").distinct()
 
@@ -546,7 +570,7 @@ def queries() -> dict:
         movie_lines_by_id, ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
         sink_tsv, sink_csv, sink_overwrite, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
         op_inner_join, op_broadcast_join, op_left_lookup, op_left_outer, op_left_anti, op_group_count,
-        op_group_multi_key, op_nested_group, op_distinct, op_pivot, op_explode_list, op_tokenize,
+        op_group_multi_key, op_nested_group, op_group_bags, op_group_bag_stats, op_distinct, op_pivot, op_explode_list, op_tokenize,
         op_lower_trim, op_clean_text, op_sort_asc, op_sort_desc, op_top_k, op_top_one, op_union_all,
         op_bucket, op_header_test,
     ]

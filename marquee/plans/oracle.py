@@ -313,6 +313,9 @@ GROUP BY lang, source""",
         "op_nested_group": """SELECT c_mktsegment, c_custkey, c_acctbal FROM (
   SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rn
   FROM customer) t WHERE rn <= 3""",
+        "op_group_bags": "SELECT c_mktsegment, c_custkey, c_acctbal FROM customer",
+        "op_group_bag_stats": """SELECT l_suppkey, count(*) AS n, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS n_returned,
+       min(l_quantity) AS least, max(l_quantity) AS most, 0::BIGINT AS too_long, 0::BIGINT AS twice FROM lineitem GROUP BY l_suppkey""",
         "op_distinct": "SELECT DISTINCT o_custkey, o_orderstatus FROM orders",
         "op_pivot": """SELECT l_suppkey,
   avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS A_avg_qty, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS A_n,

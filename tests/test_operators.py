@@ -6,7 +6,7 @@ from marquee.functions.scalar import age_group, epoch_year, strip_ws, to_double
 from marquee.functions.text import clean_text, delimiter_pattern, tokenize
 from marquee.operators.aggregate import avg_count, conditional_stats, count_non_null, merge_sum_count, sum_count
 from marquee.operators.join import anti_join, left_outer, lookup_with_fallback, salted_join, word_list_frame
-from marquee.operators.reshape import explode_list, top_k_bag, unnest_group
+from marquee.operators.reshape import explode_list, fold_bags, group_bags, top_k_bag, unnest_group
 from marquee.operators.topk import top_k_per_group, with_order_rank
 from marquee.plans import text_reports as TR
 
@@ -148,3 +148,36 @@ def test_salted_join_splits_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_whole_groups_as_bounded_bags(spark):
+    """A hot key with over a third of all rows, equal rows, NULL keys and fields."""
+    data = [(None if k % 50 == 0 else ("hot" if k % 5 < 2 else f"k{k % 7}"), None if k % 11 == 0 else k % 4, "x") for k in range(1000)]
+    df = spark.createDataFrame(data, "key string, v int, chunk string").repartition(5)
+    bags = group_bags(df, ["key"], ["v"], chunk_rows=30)
+    assert bags.columns == ["key", "chunk", "bag"]
+    held = bags.collect()
+    assert max(len(r.bag) for r in held) == 30
+    assert len({(r.key, r.chunk) for r in held}) == len(held)
+    assert sum(r.key == "hot" for r in held) > 5
+    order = lambda t: (t[0] or "", t[1] is None, t[1] or 0)
+    assert sorted(map(tuple, unnest_group(bags, ["key"]).collect()), key=order) == sorted(((k, v) for k, v, _ in data), key=order)
+
+    total = F.aggregate("bag", F.lit(0), lambda acc, e: acc + F.coalesce(e["v"], F.lit(0)))
+    folded = fold_bags(bags, ["key"], {"total": (total, F.sum("total")), "n": (F.size("bag"), F.sum("n"))})
+    want = {}
+    for k, v, _ in data:
+        want[k] = (want.get(k, (0, 0))[0] + (v or 0), want.get(k, (0, 0))[1] + 1)
+    assert {r.key: (r.total, r.n) for r in folded.collect()} == want
+    assert group_bags(df.where("false"), ["key"], ["v"]).count() == 0
+
+
+def test_a_hot_group_is_nested_by_several_tasks(spark):
+    df = spark.range(8000, numPartitions=8).select(F.lit("hot").alias("key"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        bags = group_bags(df, ["key"], ["id"], chunk_rows=500).withColumn("task", F.spark_partition_id())
+        per_task = {r.task: r.n for r in bags.groupBy("task").agg(F.sum(F.size("bag")).alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) > 1 and sum(per_task.values()) == 8000
