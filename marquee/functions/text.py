@@ -22,6 +22,8 @@ PUNCTUATION_DELETED = "[@!^?.,]"
 # Fixed values. Cleaning step 2 turns digits and these symbols into a blank:
 # % \ - ? + / & : = ~ < >
 SYMBOLS_TO_BLANK = r"[0-9%\\\-?+/&:=~<>]"
+# The same characters as delimiters: blanking and then splitting is splitting at them.
+SYMBOL_DELIMITERS = "0123456789%\\-?+/&:=~<>"
 
 _ESCAPES = {"\t": r"\t", "\r": r"\r", "\n": r"\n"}
 

@@ -34,9 +34,10 @@ def explode_tokens(
 
     The empty pieces left by leading delimiters are dropped after the
     explode with a plain filter: an array ``filter`` lambda is not
-    code-generated, a ``where`` on the exploded column is.
+    code-generated, a ``where`` on the exploded column is. The pattern is
+    possessive: after a run of delimiters nothing is tried again.
     """
-    pieces = df.select(F.explode(F.split(text, delimiter_pattern(delimiters))).alias(out_col), *keep)
+    pieces = df.select(F.explode(F.split(text, delimiter_pattern(delimiters) + "+")).alias(out_col), *keep)
     return pieces.where(F.col(out_col) != F.lit(""))
 
 

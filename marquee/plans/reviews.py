@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import TOKEN_DELIMITERS, clean_text
+from marquee.functions.text import SYMBOL_DELIMITERS, TOKEN_DELIMITERS, delete_punctuation
 from marquee.operators.aggregate import count_distinct_by, count_non_null
 from marquee.operators.join import anti_join
 from marquee.operators.reshape import explode_tokens
@@ -59,9 +59,11 @@ def frequent_words(
 
     The stopword anti join runs on the per-word counts (the vocabulary), not
     on every token; the result is the same because a word is either wholly
-    a stopword or not.
+    a stopword or not. Symbols are not blanked first but are delimiters of
+    the split, which saves a pass over every text.
     """
-    tokens = explode_tokens(reviews, clean_text(F.lower(F.col("review"))), [], delimiters=delimiters)
+    kept = delete_punctuation(F.lower(F.col("review")))
+    tokens = explode_tokens(reviews, kept, [], delimiters=delimiters + SYMBOL_DELIMITERS)
     counts = count_non_null(tokens, ["word"], "word", "freq")
     out = anti_join(counts, stopwords, "word").where(F.col("freq") > F.lit(min_freq))
     return out.orderBy(F.desc("freq"), F.asc("word")) if ordered else out
