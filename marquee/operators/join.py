@@ -3,8 +3,8 @@
 No broadcast hints: Spark's size statistics
 (``spark.sql.autoBroadcastJoinThreshold``) and AQE's runtime sizes decide
 between broadcast and shuffle joins, and AQE splits skewed join partitions.
-Where a fact key may hold a large share of all rows, ``salted_join`` splits
-it explicitly.
+Where a fact key may hold a large share of all rows, ``split_heavy_join``
+finds such keys and splits them alone; ``salted_join`` splits every key.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 16
+HEAVY_LIMIT = 1000  # most heavy keys that a sketch reports
+HEAVY_TRACKED = 10_000  # keys that a sketch keeps
 POSITION = "position"  # order of lines, from a scan with positions
 
 
@@ -87,6 +89,48 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, salt_by: str | Colum
     return left.join(right, [key, "__salt"]).drop("__salt")
 
 
+def heavy_keys(facts: DataFrame, key: str, limit: int = HEAVY_LIMIT, tracked: int = HEAVY_TRACKED) -> list:
+    """Keys that hold more rows than an average join partition, at most ``limit`` of them.
+
+    One pass with a frequent-items sketch of fixed size (``tracked`` keys per
+    task and merge), whatever the number of keys. A key above that share is in
+    the sketch unless more than ``tracked`` are; a miss costs balance only.
+    """
+    spark = facts.sparkSession
+    found = facts.select(key).agg(F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {limit}, {tracked})").alias("top")).first()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return [t["item"] for t in found["top"] or [] if t["item"] is not None and t["count"] * partitions > found["n"]]
+
+
+def repeat_heavy(dim: DataFrame, key: str, heavy: list, salts: int = SALTS) -> DataFrame:
+    """``dim`` with a ``__salt``: rows of heavy keys once per salt, all others once."""
+    numbers = F.when(F.col(key).isin(heavy), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dim.withColumn("__salt", F.explode(numbers))
+
+
+def split_heavy_join(facts: DataFrame, dim: DataFrame, key: str, salt_by: str | Column, salts: int = SALTS) -> DataFrame:
+    """Inner join in which only the keys that would fill a task are dealt over ``salts`` partitions.
+
+    A dimension that the planner is going to broadcast needs none of this:
+    nothing is dealt out by key then. Beyond that size, a sketch of the facts'
+    keys names the heavy ones; their dimension rows are repeated per salt, and
+    all other rows of both sides are shuffled once.
+    """
+    heavy = [] if _will_broadcast(dim) else heavy_keys(facts, key)
+    if not heavy:
+        return facts.join(dim, key)
+    spread_by = F.col(salt_by) if isinstance(salt_by, str) else salt_by
+    salt = F.when(F.col(key).isin(heavy), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    return facts.withColumn("__salt", salt).join(repeat_heavy(dim, key, heavy, salts), [key, "__salt"]).drop("__salt")
+
+
+def _will_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size estimate is under the broadcast threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= threshold
+
+
 def anti_join(df: DataFrame, exclude: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is not in ``exclude``.
 

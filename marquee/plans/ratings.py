@@ -11,9 +11,9 @@ Plan shape, for data far larger than memory:
 
 * aggregate first, look titles up afterwards (the lookup then joins one row
   per movie, not one row per rating);
-* raw ratings meet users in a salted join, so a user or movie with a large
-  share of them never fills one task, and are reduced to (sum, count) per
-  movie right after it, before titles come in;
+* raw ratings meet users in a join that splits the heavy users, so a user or
+  movie with a large share of them never fills one task, and are reduced to
+  (sum, count) per movie right after it, before titles come in;
 * where a dimension is only needed for grouping (genres, occupations), the
   ratings are pre-aggregated to (sum, count) per join key before the join,
   so the join input is bounded by the number of movies or users and a hot key
@@ -44,7 +44,7 @@ from marquee.operators.aggregate import (
     merge_sum_count,
     sum_count,
 )
-from marquee.operators.join import listed_once, lookup_with_fallback, one_per_key, salted_join
+from marquee.operators.join import listed_once, lookup_with_fallback, one_per_key, split_heavy_join
 from marquee.operators.topk import top_one
 
 # Gender codes and their column prefixes, in report order.
@@ -60,9 +60,9 @@ def _titles(movies: DataFrame) -> DataFrame:
 
 
 def _with_users(ratings: DataFrame, users: DataFrame, field: str) -> DataFrame:
-    """Ratings with one user field; a user with very many ratings is split by movie."""
+    """Ratings with one user field; users with very many ratings are split by movie."""
     slim = ratings.select("user_id", "movie_id", "rating")
-    return salted_join(slim, listed_once(users, "user_id", field), "user_id", "movie_id")
+    return split_heavy_join(slim, listed_once(users, "user_id", field), "user_id", "movie_id")
 
 
 def movie_rating_stats(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquee.operators import join as J
 from marquee.plans import ratings as R
 from marquee.plans import reviews as V
 
@@ -50,3 +51,35 @@ def test_hot_topic_top_words(spark):
     for topic in ("HOT", "COLD"):
         expect = sorted(((k[1], v) for k, v in counts.items() if k[0] == topic), key=lambda t: (-t[1], t[0]))[:5]
         assert sorted((w, f) for (t, w), f in got.items() if t == topic) == sorted(expect)
+
+
+def test_only_heavy_users_are_split(spark):
+    """A user with a third of all ratings is dealt over several tasks; every other user is sent once."""
+    n = 6000
+    facts = spark.range(n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("user_id"),
+        (F.col("id") % 301).cast("string").alias("movie_id"),
+        F.col("id").alias("rating"),
+    )
+    users = spark.range(2000).select(F.col("id").cast("string").alias("user_id"), F.lit("M").alias("gender"))
+    users = users.unionAll(spark.createDataFrame([("hot", "F")], "user_id string, gender string"))
+    want = sorted(map(tuple, facts.join(users, "user_id").collect()))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert J.heavy_keys(facts, "user_id") == ["hot"]
+        assert J.heavy_keys(facts.where("user_id <> 'hot'"), "user_id") == []
+        assert J.heavy_keys(facts.where("false"), "user_id") == []
+        assert J.repeat_heavy(users, "user_id", ["hot"]).count() == 2001 + J.SALTS - 1
+        joined = J.split_heavy_join(facts, users, "user_id", "movie_id")
+        per_task = {r.task: r.n for r in joined.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()}
+        assert sorted(map(tuple, joined.collect())) == want
+        assert max(per_task.values()) < n / 4 < max(r["count"] for r in facts.groupBy("user_id").count().collect())
+        plain = J.split_heavy_join(facts.where("user_id <> 'hot'"), users, "user_id", "movie_id")
+        assert "__salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "__salt" not in J.split_heavy_join(facts, users.limit(5), "user_id", "movie_id")._jdf.queryExecution().optimizedPlan().toString()
