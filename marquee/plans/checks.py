@@ -355,6 +355,16 @@ def sink_overwrite(spark: SparkSession, d: str) -> DataFrame:
     return SK.read_delimited(spark, path, "occupation_name string, avg_rating double, n bigint", sep="\t")
 
 
+def sink_single_file(spark: SparkSession, d: str) -> DataFrame:
+    """All orders in order of price as one file, joined from the parts of the tasks, read back with their line numbers."""
+    orders = T.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = scratch_path(spark, "orders_single")
+    SK.write_delimited(orders.orderBy(F.desc("o_totalprice"), "o_orderkey"), path, sep=",", single_file=True)
+    lines = REC.scan_lines(spark, path, position=True).select("value", "position.file", "position.start", "position.line")
+    ranked = with_order_rank(lines, [F.asc("file"), F.asc("start"), F.asc("line")])
+    return ranked.select("rank", F.element_at(F.split("value", ","), 1).cast("bigint").alias("o_orderkey"))
+
+
 def op_format_avg(spark: SparkSession, d: str) -> DataFrame:
     """The per-movie text report with its summary line, written and read back."""
     report = R.movie_rating_report(T.ratings(spark, d), T.movies(spark, d))
@@ -568,7 +578,7 @@ def queries() -> dict:
         ingest_movies_second_field, ingest_ratings_three_fields, ingest_user_genders, ingest_user_ages, ingest_movies_first_line, ingest_movies_first_line_contains,
         movie_rating_stats_last_listed, genre_rating_stats_last_listed, ingest_reviews_comma,
         movie_lines_by_id, ingest_occupations, ingest_reviews, ingest_stopwords, stream_ingest_ratings, op_skip_header, op_drop_malformed,
-        sink_tsv, sink_csv, sink_overwrite, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
+        sink_tsv, sink_csv, sink_overwrite, sink_single_file, op_format_avg, op_filter_ne, op_filter_and, op_filter_eq,
         op_inner_join, op_broadcast_join, op_left_lookup, op_left_outer, op_left_anti, op_group_count,
         op_group_multi_key, op_nested_group, op_group_bags, op_group_bag_stats, op_distinct, op_pivot, op_explode_list, op_tokenize,
         op_lower_trim, op_clean_text, op_sort_asc, op_sort_desc, op_top_k, op_top_one, op_union_all,

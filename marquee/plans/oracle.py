@@ -273,6 +273,7 @@ SELECT reason, count(*) AS n FROM c GROUP BY reason""",
         "sink_csv": """SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), p_name || ', "the"' || chr(9) || p_type,
        coalesce(nullif(p_brand, 'Brand#11'), ''), CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END,
        CAST(p_size AS VARCHAR)) AS line FROM part""",
+        "sink_single_file": """SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank, o_orderkey FROM orders""",
         "op_format_avg": f"""WITH {RATINGS}, {MOVIES}, {MOVIE_STATS},
 best AS (SELECT title, avg_rating, n FROM titled WHERE n >= 5
          ORDER BY avg_rating DESC, n DESC, title ASC, movie_id ASC LIMIT 1)

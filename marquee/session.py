@@ -10,7 +10,8 @@ The reports need two session-level guarantees:
 
 Anything that has to be materialised (sinks read back by the checks, lineage
 cuts) goes below the folder named by ``spark.checkpoint.dir``. That setting
-belongs to the cluster; a session without one uses its warehouse folder.
+belongs to the cluster and is required there; only a local session without
+one uses its warehouse folder.
 """
 
 from __future__ import annotations
@@ -52,12 +53,15 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediates.
 
-    ``spark.checkpoint.dir`` of the session. Where it is unset, a folder of the
-    session's warehouse (which every executor reaches) is registered instead.
+    ``spark.checkpoint.dir`` of the session. Where it is unset, a local session
+    gets a folder of its warehouse; on a cluster that is an error, since the
+    default warehouse may be a folder of one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
