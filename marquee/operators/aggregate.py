@@ -11,6 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+DENSE_IDS = 256  # ids that a bitmap of 4 KB must stand for to be smaller than their (key, id) rows
 
 
 def avg_count(
@@ -124,6 +127,27 @@ def count_non_null(df: DataFrame, keys: Sequence[str | Column], counted: str, na
     return df.groupBy(*keys).agg(F.count(F.col(counted)).alias(name))
 
 
+def count_distinct_ids(df: DataFrame, key: str, ids: str, name: str) -> DataFrame:
+    """Number of distinct non-NULL integer ids per key, by exact bitmaps where ids lie densely.
+
+    A task sends one bitmap of 32,768 bits per key and id range instead of
+    every (key, id); bitmaps are merged by OR and counted. That pays while a
+    bitmap stands for ``DENSE_IDS`` ids or more, which one pass over the two
+    columns (range of the ids, number of rows and of keys) tells. Sparse ids,
+    and ids that are no integers, are counted by :func:`count_distinct_by`;
+    the result is the same.
+    """
+    if not isinstance(df.schema[ids].dataType, IntegralType):
+        return count_distinct_by(df, key, ids, name)
+    seen = df.agg(F.min(ids).alias("low"), F.max(ids).alias("high"), F.count(ids).alias("n"), F.approx_count_distinct(key).alias("keys")).first()
+    ranges = ((seen["high"] or 0) - (seen["low"] or 0)) // 32_768 + 1
+    if seen["n"] < DENSE_IDS * ranges * max(seen["keys"], 1):
+        return count_distinct_by(df, key, ids, name)
+    place = F.col(ids).cast("bigint")
+    bitmaps = df.groupBy(key, F.bitmap_bucket_number(place).alias("__range")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__ids"))
+    return bitmaps.groupBy(key).agg(F.sum(F.bitmap_count("__ids")).alias(name))
+
+
 def count_distinct_by(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
     """Number of distinct non-NULL ``counted`` values per key (distinct, then count)."""
     return df.groupBy(key).agg(F.count_distinct(F.col(counted)).alias(name))

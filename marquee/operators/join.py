@@ -5,6 +5,7 @@ No broadcast hints: Spark's size statistics
 between broadcast and shuffle joins, and AQE splits skewed join partitions.
 Where a fact key may hold a large share of all rows, ``split_heavy_join``
 finds such keys and splits them alone; ``salted_join`` splits every key.
+Wide facts of which few have a partner go through ``prefiltered_left_join``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 16
+FILTER_BITS = 1 << 27  # 16 MB: the most that a filter of keys takes when it is broadcast
 HEAVY_LIMIT = 1000  # most heavy keys that a sketch reports
 HEAVY_TRACKED = 10_000  # keys that a sketch keeps
 POSITION = "position"  # order of lines, from a scan with positions
@@ -131,6 +133,50 @@ def _will_broadcast(df: DataFrame) -> bool:
     return size <= threshold
 
 
+def key_bits(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter (one hash) of the non-NULL keys as rows (__bucket, __bits) of 32,768 bits.
+
+    Its size is bounded by ``bits`` whatever the number of keys, so it may be
+    broadcast; with more keys it lets more through. Built by partial
+    aggregation: a task sends its bitmaps, not its keys.
+    """
+    place = _filter_place(key, bits)
+    hashed = keys.where(F.col(key).isNotNull()).select(F.bitmap_bucket_number(place).alias("__bucket"), F.bitmap_bit_position(place).alias("__at"))
+    return hashed.groupBy("__bucket").agg(F.bitmap_construct_agg("__at").alias("__bits"))
+
+
+def _filter_place(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+
+
+def _with_maybe(facts: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """``facts`` with ``__maybe``: whether the key may be among ``keys``; false is certain."""
+    place = _filter_place(key, bits)
+    found = facts.withColumn("__bucket", F.bitmap_bucket_number(place)).join(F.broadcast(key_bits(keys, key, bits)), "__bucket", "left")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (at % 8).cast("int")) == 1
+    return found.withColumn("__maybe", F.coalesce(bit & F.col(key).isNotNull(), F.lit(False))).drop("__bucket", "__bits")
+
+
+def prefiltered_left_join(facts: DataFrame, dim: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Left outer join of wide facts with a dimension that holds few of their keys.
+
+    Only facts whose key passes a Bloom filter of the dimension's keys are
+    shuffled to meet it; all others get NULLs where they are read, at the cost
+    of a second scan. A condition that needs a dimension column drops that
+    second branch. A dimension that the planner will broadcast is joined
+    plainly: no fact is shuffled then.
+    """
+    if _will_broadcast(dim):
+        return facts.join(dim, key, "left")
+    marked = _with_maybe(facts, dim.select(key), key, bits)
+    met = marked.where("__maybe").drop("__maybe").join(dim, key, "left")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
+    others = marked.where(~F.col("__maybe")).drop("__maybe")
+    return met.unionByName(others.select(*others.columns, *missing))
+
+
 def anti_join(df: DataFrame, exclude: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is not in ``exclude``.
 

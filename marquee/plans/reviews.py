@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.text import SYMBOL_DELIMITERS, TOKEN_DELIMITERS, delete_punctuation
-from marquee.operators.aggregate import count_distinct_by, count_non_null
+from marquee.operators.aggregate import count_distinct_ids, count_non_null
 from marquee.operators.join import anti_join
 from marquee.operators.reshape import explode_tokens
 from marquee.operators.topk import top_k_per_group
@@ -70,8 +70,11 @@ def frequent_words(
 
 
 def comments_by(reviews: DataFrame, category: str, ordered: bool = True) -> DataFrame:
-    """Number of distinct review ids per category value (``topic`` or ``aspect``)."""
-    out = count_distinct_by(reviews, category, "id", "num_comments")
+    """Number of distinct review ids per category value (``topic`` or ``aspect``).
+
+    Dense integer ids travel as bitmaps (see :func:`count_distinct_ids`).
+    """
+    out = count_distinct_ids(reviews, category, "id", "num_comments")
     return out.orderBy(F.desc("num_comments"), F.asc_nulls_last(category)) if ordered else out
 
 

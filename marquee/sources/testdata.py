@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.text import split_list
-from marquee.operators.join import word_list_frame
+from marquee.operators.join import prefiltered_left_join, word_list_frame
 
 # The stopword list used with the test documents. "the" and
 # "de" appear twice and "of the" can never equal a single token.
@@ -112,7 +112,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> Da
         F.col("doc_id").alias("id"),
         F.when(F.col("quality") == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("sentiment"),
     )
-    return docs.join(labels, "id", "left")
+    return prefiltered_left_join(docs, labels, "id")
 
 
 def stopwords(spark: SparkSession) -> DataFrame:

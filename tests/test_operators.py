@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.scalar import age_group, epoch_year, strip_ws, to_double
 from marquee.functions.text import clean_text, delimiter_pattern, tokenize
-from marquee.operators.aggregate import avg_count, conditional_stats, count_non_null, merge_sum_count, sum_count
-from marquee.operators.join import anti_join, left_outer, lookup_with_fallback, salted_join, word_list_frame
+from marquee.operators.aggregate import avg_count, conditional_stats, count_distinct_ids, count_non_null, merge_sum_count, sum_count
+from marquee.operators import join as J
+from marquee.operators.join import anti_join, left_outer, lookup_with_fallback, prefiltered_left_join, salted_join, word_list_frame
 from marquee.operators.reshape import explode_list, fold_bags, group_bags, top_k_bag, unnest_group
 from marquee.operators.topk import top_k_per_group, with_order_rank
 from marquee.plans import text_reports as TR
@@ -181,3 +183,52 @@ def test_a_hot_group_is_nested_by_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(per_task) > 1 and sum(per_task.values()) == 8000
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_only_facts_that_may_match_are_shuffled(shuffled_joins):
+    spark = shuffled_joins
+    facts = spark.createDataFrame([(None if k % 97 == 0 else k % 3000 - 500, f"text {k}") for k in range(4000)], "id bigint, text string")
+    dim = spark.createDataFrame([(k, "p" if k % 2 else None) for k in range(-10, 200, 3)] + [(5, "again"), (None, "no id"), (10**12, "far")], "id bigint, sentiment string")
+    order = lambda t: tuple((x is not None, x) for x in t)
+    plain = sorted(map(tuple, facts.join(dim, "id", "left").collect()), key=order)
+    for bits in (1 << 27, 1 << 15):
+        joined = prefiltered_left_join(facts, dim, "id", bits)
+        assert joined.columns == ["id", "text", "sentiment"]
+        assert sorted(map(tuple, joined.collect()), key=order) == plain
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    inner = joined.where(F.col("sentiment").isin("p"))
+    assert "Union" not in inner._jdf.queryExecution().optimizedPlan().toString()
+    sent = J._with_maybe(facts, dim.select("id"), "id", 1 << 27).where("__maybe")
+    known = {r.id for r in dim.collect()}
+    assert {r.id for r in sent.collect()} == {r.id for r in facts.collect() if r.id in known and r.id is not None}
+    none = prefiltered_left_join(facts, dim.where("false"), "id")
+    assert none.count() == 4000 and none.where("sentiment is not null").count() == 0
+
+
+def test_a_small_dimension_is_joined_plainly(spark):
+    df = spark.range(5).withColumn("v", F.lit("a"))
+    assert "bitmap" not in prefiltered_left_join(df, df.select("id", F.lit(1).alias("w")), "id")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_distinct_ids_by_bitmaps(spark):
+    dense = [(f"k{k % 3}" if k % 10 else None, (k * 7) % 40_000 - 200 if k % 13 else None) for k in range(60_000)] + [("only null", None)]
+    sparse = [("a", 2**62), ("a", -(2**62)), ("a", 2**62), ("b", 0), ("b", None)]
+    for data, by_bitmap in ((dense, True), (sparse, False), ([], False)):
+        df = spark.createDataFrame(data, "key string, id bigint")
+        counted = count_distinct_ids(df, "key", "id", "n")
+        assert ("bitmap" in counted._jdf.queryExecution().optimizedPlan().toString()) == by_bitmap
+        want = {}
+        for k, i in data:
+            want.setdefault(k, set()).update({i} - {None})
+        assert {r.key: r.n for r in counted.collect()} == {k: len(v) for k, v in want.items()}
+    text = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y")], "key string, id string")
+    assert count_distinct_ids(text, "key", "id", "n").first().n == 2
