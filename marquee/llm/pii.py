@@ -10,43 +10,64 @@ distinct entities of a shape stay distinct. What carries meaning stays too:
 * e-mail: separators and the top-level domain;
 * phone: the country code and the separators;
 * card: the first digit, grouping, and whether its check digit is right;
-* IPv4: four numbers from 0 to 255;
+* IPv4: four numbers from 0 to 255; IPv6: hexadecimal groups and separators;
 * keys and hexadecimal secrets: prefix, alphabet and length;
 * person: the honorific and with it the gender, the script, the capitals, and
   the last letter of each name (often a gender ending). Names are replaced
   word by word, so ``Mrs Ana Roe`` and ``Mrs Roe`` keep a name in common, and
   so does ``Roe`` without a title in a text that names ``Mrs Roe``.
 
-Surrogates are then checked against each other and against all real entities;
-one that equals another or a real entity (its own included) is drawn again
-with the next tweak, until none is left or ``TWEAKS`` rounds are over.
+Surrogates are then checked against each other and against all real entities.
+Those that equal another or a real entity (their own included), and no others,
+are drawn again with the next tweak. Where that doesn't help within ``TWEAKS``
+rounds, the shape is full (five two-letter names after a title fill theirs),
+and names, addresses, secrets and phones become longer by a character a round,
+so the shape soon holds an unused string for each. Nothing is returned before
+every entity has a surrogate of its own; a kind of fixed length whose values
+are used up is an error.
+
+A name is found by its title, so a person who is never named with one stays.
+The key comes from the caller, or from the session's ``KEY_SETTING``; a
+session without one gets a random key of its own.
 
 Everything is DataFrame work. Documents without entities are passed through;
 only those with entities are written aside and joined to their replacements.
 
 Defined cases: a null or empty text has no entities and stays as it is;
-repeated texts get the same replacement; null ids and extra columns pass
-through; an input column ``n_entities`` is replaced; empty table: no rows.
+repeated texts get the same replacement (ties can't arise); very long texts and
+values go whole; null ids and extra columns pass through; an input column
+``n_entities`` is replaced; empty table: no rows.
 """
 
 from __future__ import annotations
 
+import secrets
+import unicodedata
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators.join import split_heavy_join
 from marquee.session import materialized
 
-TWEAKS = 16
+KEY_SETTING = "spark.marquee.surrogates.key"
+TWEAKS = 8  # draws within a value's own shape
+FIXED = ("ipv4", "ipv6", "ssn", "card", "key", "iban")  # kinds whose length is part of their format
+FIXED_TWEAKS = 64
 ROUNDS = 6
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,24}(?![\p{L}\p{N}-])"
 SECRET_NAME = r"(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?"
-SECRET = SECRET_NAME + r"[^\s\"',;]{5,}[^\s\"',;.:!?)]"
+SECRET = SECRET_NAME + r"[^\s\"',;]{4,}[^\s\"',;.:!?)]"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
+IPV6 = (
+    r"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|[0-9A-Fa-f]{3,4}:(?:[0-9A-Fa-f]{1,4}:){0,5}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"
+)
 PHONE = (
+    r"(?<![\d+])\+\d{8,15}(?!\d)|"
     r"(?<![\d+])\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)"
     r"|(?<!\d)\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
@@ -63,16 +84,30 @@ NAME = r"(?<![\p{L}\d'-])\p{Lu}[\p{L}'-]++"  # a word that may be an untitled me
 
 # The guards let most letters of ordinary text fail on one look.
 ENTITY = (
-    rf"{EMAIL}|(?=[pstaPSTA]){SECRET}|(?=[\d+(])(?:{IPV4}|{PHONE}|{SSN}|{CARD})"
+    rf"{EMAIL}|(?=[pstaPSTA]){SECRET}|(?=[0-9A-Fa-f]){IPV6}|(?=[\d+(])(?:{IPV4}|{PHONE}|{SSN}|{CARD})"
     rf"|(?=[A-Z])(?:{KEY}|{IBAN})|(?=[MFHSГ]){PERSON}"
 )
 
 _LOWER = ("aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäéèêëíìîïóòôöúùûü", "çñ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
+
+
+def _other_letters() -> list[str]:
+    """Every other cased letter, in one class for each script and case."""
+    known = set("".join(_LOWER) + "".join(_LOWER).upper())
+    classes: dict[tuple[str, bool], str] = {}
+    for letter in map(chr, range(0xAA, 0x1EA00)):
+        if letter not in known and (letter.islower() or letter.isupper()):
+            group = (unicodedata.name(letter, "?").split()[0], letter.islower())
+            classes[group] = classes.get(group, "") + letter
+    return list(classes.values())
+
+
 # Alphabets by number; each is a list of classes that a character stays within.
 ALPHABETS = (
-    ("0123456789", *_LOWER, *(c.upper() for c in _LOWER)),
+    ("0123456789", *_LOWER, *(c.upper() for c in _LOWER), *_other_letters()),
     ("0123456789abcdef",),
     ("0123456789ABCDEF",),
+    ("0123456789", "abcdef", "ABCDEF"),
 )
 
 
@@ -84,6 +119,7 @@ def kind_of(value: Column) -> Column:
         "key": "^AKIA",
         "person": f"^{TITLE}",
         "ipv4": r"^\d+\.\d+\.\d+\.\d+$",
+        "ipv6": r"^[0-9A-Fa-f]+:",
         "ssn": r"^\d{3}-\d{2}-\d{4}$",
         "card": r"^(\d{15,16}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4})$",
         "iban": "^[A-Z]{2}",
@@ -95,7 +131,8 @@ def kind_of(value: Column) -> Column:
 
 
 def _per_alphabet(values: list[list]) -> Column:
-    return F.get(F.array(*[F.array(*[F.lit(x) for x in v]) for v in values]), F.col("__alphabet"))
+    lists = [F.split(F.lit(",".join(map(str, v))), ",").cast("array<int>") for v in values]  # folded into a constant
+    return F.get(F.array(*lists), F.col("__alphabet"))
 
 
 def _mover(in_half: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
@@ -165,18 +202,21 @@ def _refilled(value: Column, digits: Column) -> Column:
 
 
 def with_surrogates(units: DataFrame, key: str) -> DataFrame:
-    """``units`` (kind, value, tweak) with ``surrogate``."""
-    value, kind = F.col("value"), F.col("kind")
+    """``units`` (kind, value, tweak) with ``surrogate``, which is longer by the draws beyond ``TWEAKS``."""
+    kind = F.col("kind")
+    longer = F.when(kind.isin(*FIXED), 0).otherwise(F.greatest(F.col("tweak") - (TWEAKS - 1), F.lit(0)))
+    units = units.withColumn("shape", _longer_value(kind, longer))
+    value = F.col("shape")
     head = (
-        F.when(kind == "secret", F.regexp_extract("value", f"^{SECRET_NAME}", 0))
-        .when(kind == "phone", F.regexp_extract("value", r"^\+\d{1,3}", 0))
-        .when(kind.isin("key", "iban"), F.substring("value", 1, 4))
+        F.when(kind == "secret", F.regexp_extract(value, f"^{SECRET_NAME}", 0))
+        .when(kind == "phone", F.regexp_extract(value, r"^\+\d{1,3}", 0))
+        .when(kind.isin("key", "iban"), F.substring(value, 1, 4))
         .otherwise(F.lit(""))
     )
-    tail = F.when(kind == "email", F.regexp_extract("value", r"\.[A-Za-z]+$", 0)).when(
-        kind == "name", F.substring("value", -1, 1)
+    tail = F.when(kind == "email", F.regexp_extract(value, r"\.\p{L}+$", 0)).when(
+        kind == "name", F.substring(value, -1, 1)
     ).otherwise(F.lit(""))
-    rest = F.substr(value, F.length("head") + 1, F.length("value") - F.length("head") - F.length("tail"))
+    rest = F.substr(value, F.length("head") + 1, F.length(value) - F.length("head") - F.length("tail"))
     digits = F.regexp_replace("rest", r"\D", "")
     octets = F.transform(F.split("rest", r"\."), lambda o: F.lower(F.lpad(F.hex(o.cast("int")), 2, "0")))
     body = (
@@ -185,8 +225,9 @@ def with_surrogates(units: DataFrame, key: str) -> DataFrame:
         .when(kind.isin("phone", "ssn"), digits)
         .otherwise(F.col("rest"))
     )
-    hexadecimal = (kind == "ipv4") | F.col("body").rlike("^[0-9a-f]+$") & (kind == "secret")
-    alphabet = F.when(hexadecimal, 1).when(F.col("body").rlike("^[0-9A-F]+$") & (kind == "secret"), 2).otherwise(0)
+    may_be_hex = kind.isin("secret", "ipv6")
+    hexadecimal = (kind == "ipv4") | F.col("body").rlike("^[0-9a-f:]+$") & may_be_hex
+    alphabet = F.when(hexadecimal, 1).when(F.col("body").rlike("^[0-9A-F:]+$") & may_be_hex, 2).when(kind == "ipv6", 3).otherwise(0)
     tweaked = F.concat_ws("|", F.lit(key), F.when(kind == "name", "name").otherwise(kind), F.col("tweak").cast("string"))
     parts = units.withColumn("head", head).withColumn("tail", tail).withColumn("rest", rest).withColumn("body", body)
     made = permuted(parts, "body", alphabet, tweaked, "made")
@@ -204,27 +245,43 @@ def with_surrogates(units: DataFrame, key: str) -> DataFrame:
     return made.withColumn("surrogate", F.concat("head", again, "tail")).select("kind", "value", "tweak", "surrogate")
 
 
+def _longer_value(kind: Column, by: Column) -> Column:
+    """The value with ``by`` characters more where its shape can grow: before a name's last letter, else at a place that stays inside."""
+    value = F.col("value")
+    more = F.repeat(F.when(kind == "phone", F.lit("0")).otherwise(F.lit("n")), by.cast("int"))
+    before_last = F.concat(F.substr(value, F.lit(1), F.length(value) - 1), more, F.substring(value, -1, 1))
+    return F.when(by == 0, value).when(kind == "name", before_last).when(kind == "email", F.concat(more, value)).otherwise(F.concat(value, more))
+
+
 def checked_surrogates(units: DataFrame, key: str) -> DataFrame:
-    """(kind, value, surrogate) for distinct ``units`` (kind, value).
+    """(kind, value, surrogate) for distinct ``units`` (kind, value): none is a real value, and no two are equal.
 
-    A surrogate that is also a real value, or that several values share (all
-    but the smallest value), is drawn again with the next tweak.
+    Each round draws for the values that have no surrogate yet. A draw that is
+    a real value, was given before, or falls on several values (all but the
+    smallest one) is repeated with the next tweak.
     """
-    now = materialized(with_surrogates(units.withColumn("tweak", F.lit(0)), key), "surrogates")
-    for _ in range(TWEAKS):
-        real = now.select(F.col("kind").alias("real_kind"), F.col("value").alias("real"))
-        is_real = now.join(real, (F.col("kind") == F.col("real_kind")) & (F.col("surrogate") == F.col("real")))
-        shared = now.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least")).where("n > 1")
-        again = now.join(shared, ["kind", "surrogate"]).where("value != least")
-        clashes = is_real.select("kind", "value").unionAll(again.select("kind", "value")).distinct()
-        clashes = materialized(clashes.withColumn("clash", F.lit(True)), "surrogate-clashes")
-        if clashes.isEmpty():
+    spark = units.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # drawing costs time, not bytes, so the rows are dealt out by number
+    units = materialized(units.select("kind", "value"), "units")
+    taken = units.select("kind", F.col("value").alias("surrogate"))
+    settled: list[DataFrame] = []
+    pending, tweak = units, 0
+    while True:
+        drawn = materialized(with_surrogates(pending.repartition(tasks).withColumn("tweak", F.lit(tweak)), key), "surrogates")
+        free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
+        least = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
+        settled.append(materialized(least.select("kind", "value", "surrogate"), "settled-surrogates"))
+        pending = materialized(drawn.join(settled[-1].select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value"), "clashes")
+        if pending.isEmpty():
             break
-        bumped = now.join(clashes, ["kind", "value"], "left").select(
-            "kind", "value", (F.col("tweak") + F.coalesce("clash", F.lit(False)).cast("int")).alias("tweak")
-        )
-        now = materialized(with_surrogates(bumped, key), "surrogates")
-    return now.select("kind", "value", "surrogate")
+        taken = taken.unionByName(settled[-1].select("kind", "surrogate"))
+        tweak += 1
+        if tweak >= FIXED_TWEAKS and not pending.where(F.col("kind").isin(*FIXED)).isEmpty():
+            raise ValueError("a kind of fixed length has no unused surrogate left")
+    out = settled[0]
+    for more in settled[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def entity_surrogates(entities: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -255,9 +312,7 @@ def _names_by_text(said: DataFrame, named: DataFrame) -> DataFrame:
     persons = said.where(F.col("value").rlike(f"^{TITLE}") & (kind_of(F.col("value")) == "person"))
     words = F.split(F.regexp_replace("value", f"^{TITLE}", ""), " ")
     return (
-        persons.select("__text_id", F.explode(words).alias("value"))
-        .distinct()
-        .join(named, "value")
+        split_heavy_join(persons.select("__text_id", F.explode(words).alias("value")).distinct(), named, "value", "__text_id")
         .groupBy("__text_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__names"))
     )
@@ -278,17 +333,17 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     clean = kept.where(~some).withColumn("n_entities", F.lit(0).cast("bigint"))
 
     found = kept.where(some).withColumn("__found", F.regexp_extract_all(text, F.lit(ENTITY), 0))
-    found = materialized(found.withColumn("__text_id", F.sha2(F.col(text).cast("binary"), 256)), "texts-with-entities")
+    found = found.withColumn("__text_id", F.sha2(F.col(text).cast("binary"), 256)).withColumn("__row", F.monotonically_increasing_id())
+    found = materialized(found, "texts-with-entities")
     said = found.select("__text_id", F.explode("__found").alias("value")).distinct()
     surrogates, named = entity_surrogates(said.select("value").distinct(), key)
     by_text = (
-        said.join(surrogates, "value")
+        split_heavy_join(said, surrogates, "value", "__text_id")
         .groupBy("__text_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__surrogates"))
         .join(_names_by_text(said, named), "__text_id", "left")
-        .withColumnRenamed("__text_id", "__of")
     )
-    joined = found.join(materialized(by_text, "surrogates-by-text"), F.col("__text_id") == F.col("__of"))
+    joined = split_heavy_join(found, materialized(by_text, "surrogates-by-text"), "__text_id", "__row")
     put = F.transform("__found", lambda e: F.element_at("__surrogates", e))
     parts = F.split(text, ENTITY, -1)
     words = lambda part: F.regexp_extract_all(part, F.lit(NAME), 0)
@@ -308,5 +363,15 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     return clean.unionByName(replaced)
 
 
-def pii_report(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The session's key; a random one, kept for the session, where none is set."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pii_report(docs: DataFrame, key: str | None = None) -> DataFrame:
+    key = key or session_key(docs.sparkSession)
     return replace_entities(docs.select("doc_id", "text"), key).select("doc_id", "text", "n_entities")

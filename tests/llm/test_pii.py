@@ -144,3 +144,77 @@ def test_long_values_and_untitled_mentions_go_whole(spark):
     assert "Zorg" not in got[4].text and got[4].n_entities == 1
     assert got[5].text.startswith("Roe is") and got[5].n_entities == 1
     assert "q" * 30 not in got[6].text
+
+
+LEAKS = [
+    "+13335558558", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a", "2001:DB8::7", "token=12345",
+    "q" * 70 + "@mail.example.com", "anna.müller@firma.de", "иван@почта.рф", "Mr Åø", "Г-н Йъ", "Señora Łęż", "Mr Ἀχιλ", "Frau Ǆžš",
+]
+
+
+def test_nothing_of_an_entity_stays_in_clear(spark):
+    rows = [(k, f"see {v} , ok", "", "") for k, v in enumerate(LEAKS)]
+    rows += [(100, "at 12:30:45 std::vector a::b 10:20 and ab:cd here", "", "")]
+    got = {r.doc_id: r for r in P.replace_entities(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    assert got[100].n_entities == 0
+    for k, v in enumerate(LEAKS):
+        new = got[k].text.removeprefix("see ").removesuffix(" , ok")
+        assert got[k].n_entities == 1 and len(new) == len(v), (v, new)
+        head = {0: 4, 4: 6}.get(k, len(v.split()[0]) + 1 if " " in v else 0)
+        same = [a == b for a, b in zip(v[head:], new[head:], strict=True) if a.isalnum()]
+        assert not all(same) and sum(same) <= max(len(same) // 2, 5), (v, new)
+        if k in (1, 2, 3):
+            assert re.fullmatch(r"[0-9a-f:]+" if k < 3 else r"[0-9A-F:]+", new)
+
+
+def test_a_full_shape_grows_and_no_real_name_comes_out(spark):
+    vowels = "aeiou"
+    names = [f"{a.upper()}{c}" for c in "lnt" for a in vowels]
+    text = "Mr " + ", Mr ".join(names)
+    out = P.replace_entities(spark.createDataFrame([(1, text, "", "")], SCHEMA), "k").first()
+    made = out.text.removeprefix("Mr ").split(", Mr ")
+    assert out.n_entities == 15 and len(set(made)) == 15 and not set(made) & set(names)
+    assert all(m[-1] == n[-1] and m[0].isupper() and m[1:].islower() for m, n in zip(made, names, strict=True))
+
+
+def test_surrogates_are_a_permutation_checked_against_a_plain_version(spark):
+    """Every kind: plain Python repeats the rule of the draws on what one draw gives."""
+    kinds = {
+        "ssn": [f"{k:03d}-{k % 97:02d}-{k * 13 % 10000:04d}" for k in range(200)],
+        "phone": [f"+1 {200 + k} 555 {1000 + k}" for k in range(100)],
+        "name": [f"{a}{b}" for a in "ABCDE" for b in ("l", "na", "rk")],
+        "ipv4": [f"10.{k}.{k * 3 % 256}.7" for k in range(200)],
+        "email": [f"u{k}@x.com" for k in range(10)],
+        "card": [f"4{k:014d}{k % 10}" for k in range(60)],
+    }
+    units = spark.createDataFrame([(k, v) for k, vs in kinds.items() for v in vs], "kind string, value string")
+    got = {(r.kind, r.value): r.surrogate for r in P.checked_surrogates(units, "k").collect()}
+    taken = {k: set(vs) for k, vs in kinds.items()}
+    pending, want, tweak = [(k, v) for k, vs in kinds.items() for v in vs], {}, 0
+    while pending:
+        df = spark.createDataFrame([(k, v, tweak) for k, v in pending], "kind string, value string, tweak int")
+        groups = {}
+        for r in P.with_surrogates(df, "k").collect():
+            groups.setdefault((r.kind, r.surrogate), []).append(r.value)
+        for (k, s), vs in groups.items():
+            if s not in taken[k]:
+                want[k, min(vs)] = s
+        for (k, _), s in want.items():
+            taken[k].add(s)
+        pending, tweak = [p for p in pending if p not in want], tweak + 1
+    assert got == want
+
+
+def test_the_key_comes_from_the_session(spark):
+    df = spark.createDataFrame([(1, VALUES[9])], "doc_id bigint, text string")
+    one, two = P.pii_report(df).first().text, P.pii_report(df).first().text
+    assert one == two
+    spark.conf.set(P.KEY_SETTING, "mine")
+    assert P.pii_report(df).first().text == P.pii_report(df, "mine").first().text
+    spark.conf.unset(P.KEY_SETTING)
+
+
+def test_hot_values_and_hot_texts(spark):
+    rows = [(k, "mail hot@mail.com now" if k % 3 == 0 else f"hot@mail.com and u{k}@mail.com", "", "") for k in range(300)]
+    got = {r.doc_id: r.text for r in P.replace_entities(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    assert len(got) == 300 and len({t.split()[1] for k, t in got.items() if k % 3 == 0} | {t.split()[0] for k, t in got.items() if k % 3}) == 1
