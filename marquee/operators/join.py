@@ -149,6 +149,11 @@ def _filter_place(key: str, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
 
 
+def may_match(facts: DataFrame, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``facts`` whose key may be among ``keys``: all that are, and few others."""
+    return _with_maybe(facts, keys, key, bits).where("__maybe").drop("__maybe")
+
+
 def _with_maybe(facts: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
     """``facts`` with ``__maybe``: whether the key may be among ``keys``; false is certain."""
     place = _filter_place(key, bits)
@@ -171,7 +176,7 @@ def prefiltered_left_join(facts: DataFrame, dim: DataFrame, key: str, bits: int
     if _will_broadcast(dim):
         return facts.join(dim, key, "left")
     marked = _with_maybe(facts, dim.select(key), key, bits)
-    met = marked.where("__maybe").drop("__maybe").join(dim, key, "left")
+    met = may_match(facts, dim.select(key), key, bits).join(dim, key, "left")
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
     others = marked.where(~F.col("__maybe")).drop("__maybe")
     return met.unionByName(others.select(*others.columns, *missing))
