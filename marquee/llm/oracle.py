@@ -11,18 +11,25 @@ WITH docs AS (
   FROM documents
 ), tokens AS (
   SELECT d, wanted, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs
-), vocab AS (
-  SELECT word FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word) ORDER BY n DESC, word LIMIT 1024
+), counted AS (
+  SELECT word, count(*) AS b, count(*) FILTER (WHERE wanted) AS t,
+         least((length(word) - 1) // 4, 3) + CASE WHEN regexp_matches(word, '[!-@\[-`{-~]') THEN 4 ELSE 0 END AS kind
+  FROM tokens GROUP BY word
+), words AS (
+  SELECT word, b, t, kind, b * 1024 >= (SELECT count(*) FROM tokens) AS own FROM counted
+), kinds AS (
+  SELECT kind, sum(b) + 0.5::DOUBLE * count(*) AS b, sum(t) + 0.5::DOUBLE * count(*) AS t FROM words WHERE NOT own GROUP BY kind
+), symbols AS (
+  SELECT w.word, CASE WHEN w.own THEN 'w' || w.word ELSE 'c' || w.kind END AS s,
+         CASE WHEN w.own THEN 0 ELSE -ln((w.b + 0.5::DOUBLE) / k.b) END AS b,
+         CASE WHEN w.own THEN 0 ELSE -ln((w.t + 0.5::DOUBLE) / k.t) END AS t
+  FROM words w LEFT JOIN kinds k ON k.kind = w.kind
 ), named AS (
-  SELECT t.d, t.wanted, t.i,
-         CASE WHEN v.word IS NOT NULL THEN 'w' || t.word
-              ELSE 'c' || (least((length(t.word) - 1) // 4, 3) + CASE WHEN regexp_matches(t.word, '[!-@\[-`{-~]') THEN 4 ELSE 0 END)
-         END AS s
-  FROM tokens t LEFT JOIN vocab v ON v.word = t.word
+  SELECT t.d, t.wanted, t.i, y.s, y.b, y.t FROM tokens t JOIN symbols y ON y.word = t.word
 ), pairs AS (
-  SELECT d, wanted, coalesce(lag(s) OVER (PARTITION BY d ORDER BY i), '^') AS h, s FROM named
+  SELECT d, wanted, coalesce(lag(s) OVER (PARTITION BY d ORDER BY i), '^') AS h, s, b, t FROM named
 ), size AS (
-  SELECT count(*) + 8 AS n FROM vocab
+  SELECT count(*) + 8 AS n FROM words WHERE own
 ), cells AS (
   SELECT h, s, count(*) AS b, count(*) FILTER (WHERE wanted) AS t FROM pairs GROUP BY h, s
 ), hist AS (
@@ -37,7 +44,7 @@ WITH docs AS (
          -ln(CASE WHEN h.t > 0 THEN 0.75::DOUBLE * (c.t::DOUBLE / h.t) + 0.25::DOUBLE * u.t ELSE u.t END) AS t
   FROM cells c JOIN hist h ON h.h = c.h JOIN uni u ON u.s = c.s
 ), scored AS (
-  SELECT p.d, avg(l.t) AS t, avg(l.b) AS b FROM pairs p JOIN loss l ON l.h = p.h AND l.s = p.s GROUP BY p.d
+  SELECT p.d, avg(l.t + p.t) AS t, avg(l.b + p.b) AS b FROM pairs p JOIN loss l ON l.h = p.h AND l.s = p.s GROUP BY p.d
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, round(s.t, 6) AS loss_target, round(s.b, 6) AS loss_background,
        round(s.t - s.b, 6) AS score

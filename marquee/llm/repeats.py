@@ -297,7 +297,7 @@ def _level(texts: DataFrame, cut, span: int, group_bytes: int, bucket_bytes: int
     return spans, hot, bool(sizes.get(True))
 
 
-def _digest_columns(text: Column) -> list[Column]:
+def digest_columns(text: Column) -> list[Column]:
     """128 bits of the text's SHA-256, as two longs."""
     sha = F.sha2(text, 256)
     return [F.conv(F.substring(sha, 1 + 16 * k, 16), 16, -10).cast("bigint").alias(f"d{k + 1}") for k in range(2)]
@@ -307,7 +307,7 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, group_bytes: int = GROUP
     """(d1, d2, begin, n): runs of repeated windows of each different text (named by its digest)."""
     if span <= GRAM:
         raise ValueError(f"span must be over {GRAM}")
-    texts = docs.select(*_digest_columns(F.col("text")), F.col("text").cast("binary").alias("bytes")).where(F.octet_length("text") >= span)
+    texts = docs.select(*digest_columns(F.col("text")), F.col("text").cast("binary").alias("bytes")).where(F.octet_length("text") >= span)
     texts = texts.select("d1", "d2", F.lit(0).cast("bigint").alias("base"), F.lit(False).alias("known"), "bytes")
     found = []
     cuts = [_by_least_hash(span), *(_by_place(span, width) for width in PARTS)]
@@ -350,7 +350,7 @@ def _cut_texts(docs: DataFrame, span: int, **limits: int) -> DataFrame:
     """(d1, d2, kept, n_removed, n_spans) of each different text that loses something."""
     windows = repeated_windows(docs, span, **limits)
     runs = windows.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "n")).alias("runs"))
-    texts = docs.select(*_digest_columns(F.col("text")), F.col("text").cast("binary").alias("bytes")).where(F.octet_length("text") >= span)
+    texts = docs.select(*digest_columns(F.col("text")), F.col("text").cast("binary").alias("bytes")).where(F.octet_length("text") >= span)
     texts = texts.groupBy("d1", "d2").agg(F.first("bytes").alias("bytes"))
     return texts.join(runs, ["d1", "d2"]).select("d1", "d2", _cutter(span)("bytes", "runs").alias("c")).select("d1", "d2", "c.*")
 
@@ -360,7 +360,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, **limits: int) -> DataFra
     outputs = ("kept", "n_bytes", "n_removed", "n_spans", "__d1", "__d2")
     cut = materialized(_cut_texts(docs, span, **limits), "cut-texts").select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.struct("kept", "n_removed", "n_spans").alias("__cut"))
     own = [c for c in docs.columns if c.lower() not in outputs]
-    d1, d2 = _digest_columns(F.col("text"))
+    d1, d2 = digest_columns(F.col("text"))
     named = docs.select(*own, d1.alias("__d1"), d2.alias("__d2"))
     joined = named.join(cut, (F.col("__d1") == F.col("c1")) & (F.col("__d2") == F.col("c2")), "left")
     return joined.select(
@@ -378,7 +378,7 @@ def repeats_report(docs: DataFrame, span: int = SPAN, **limits: int) -> DataFram
     cut = materialized(cut, "cut-texts")
     named = docs.select(
         "doc_id",
-        *_digest_columns(F.col("text")),
+        *digest_columns(F.col("text")),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"),
     )
