@@ -34,7 +34,7 @@ def hash_sample(ids: DataFrame, bound: int) -> DataFrame:
 
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
-def _features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def text_features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         yield pa.array(list(docstats.stats(texts)[1]), pa.list_(pa.float64()))
 
@@ -44,7 +44,7 @@ def sample_features(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, dic
     others = [c for c in sample.columns if c != "doc_id"]
     picked = sample.withColumnRenamed("doc_id", "__id")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
-    featured = rows.withColumn("x", _features("text")).select("doc_id", F.xxhash64("text").alias("h"), "x", *others)
+    featured = rows.withColumn("x", text_features("text")).select("doc_id", F.xxhash64("text").alias("h"), "x", *others)
     one = featured.groupBy("doc_id").agg(F.min(F.struct("h", "x", *others)).alias("one"))
     found = one.select("doc_id", "one.x", *[f"one.{c}" for c in others]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     x = np.array(found["x"].to_pylist(), dtype=np.float64).reshape(-1, len(docstats.FEATURES))
