@@ -43,10 +43,10 @@ from marquee.llm import docstats, labelled
 from marquee.session import materialized
 
 POSITIVES = 10_000
-BINS = 24
+BINS = 10
 GRID = 1 << 11  # histogram cells per unit of log(1 + |x|)
 STEPS = 40  # most Newton steps; a fit ends when a step changes next to nothing
-RIDGE = 1e-4
+RIDGE = 1e-2
 
 
 @dataclass
