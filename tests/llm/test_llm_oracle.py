@@ -11,7 +11,7 @@ from tables import sf_dir  # noqa: F401
 def test_registered_names():
     assert set(catalog.oracle_sql()) <= set(catalog.queries()) <= set(E.queries())
     numbers = sorted(int(q[2:].split("_")[0]) for q in catalog.queries() if q.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in catalog.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in catalog.queries()
 
 
 def test_queries_match_their_sql(spark, sf_dir):
