@@ -16,7 +16,10 @@ Defined cases:
 * null or wordless document: no words, not contaminated;
 * null or wordless item: no window; an item without id marks words, but isn't named;
 * repeated items: one window with several ids; repeated documents: each judged;
-* empty benchmark: no hits.
+* a very long text is a chunk of its own, judged whole; there are no ties, a
+  word is hit or not;
+* extra columns of any name pass through (rows travel as one struct);
+* empty benchmark: no hits; empty table: no rows.
 """
 
 from __future__ import annotations

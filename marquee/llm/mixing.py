@@ -14,6 +14,8 @@ Defined cases:
 * a source without words has target 0; documents without words take nothing;
 * rows with the same id and size share one key: if the cut falls on such
   rows, each takes the same number of words (the rest of a division is left);
+* a very long text counts with all its words, and may be cut at the budget;
+* extra columns of any name pass through (rows travel as one struct);
 * null id: hashed as the empty string; empty table: no sources, no rows.
 """
 

@@ -32,6 +32,9 @@ Defined cases:
 * fewer words than a shingle: the whole sequence is the one shingle;
 * null id: never linked, component null, kept;
 * rows that repeat an id are one document: all kept or all dropped;
+* a very long text has all its shingles in its set; of equally good documents
+  the one with the smallest id stays;
+* extra columns aren't read, and ``drop_near_copies`` keeps them;
 * empty table: no rows.
 """
 

@@ -12,7 +12,8 @@ position ids that restart at every segment, and where each segment came from.
 
 Defined cases: a null or empty text gives no tokens and no segment; a null id
 stays null in the segment list; repeated documents are packed each time; an
-empty table gives no rows. Strings of special tokens in a text are plain text.
+empty table gives no rows. Equally long documents keep their order. Only the
+id and the text are read, whatever else the table holds. Strings of special tokens in a text are plain text.
 """
 
 from __future__ import annotations

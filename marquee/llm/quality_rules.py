@@ -7,8 +7,9 @@ flattened trees (:mod:`marquee.llm.trees`).
 
 Defined cases: a null or wordless text fails the word limit; a label other
 than 0 and 1 is ignored, an id with both counts as 0; without labels of both
-classes the verdict is the limits' alone; repeated documents are judged alike;
-an input column named like an output is replaced.
+classes the verdict is the limits' alone; repeated documents are judged alike,
+very long ones whole; a score of exactly ``KEEP_FROM`` passes; an input column
+named like an output is replaced; empty table: no rows.
 """
 
 from __future__ import annotations

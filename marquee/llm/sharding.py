@@ -9,6 +9,8 @@ Defined cases:
 
 * null key: hashed as the empty string; null text: no bytes, size 1;
 * repeated rows: all in one slot, each counted and numbered on its own;
+* a very long text counts with all its bytes; slots of equal size are placed
+  in order of their number;
 * empty table: every slot keeps its shard, no rows come out;
 * an input column named like an output column is replaced by the output.
 """

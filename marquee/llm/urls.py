@@ -14,7 +14,9 @@ Globs are matched against the whole canonical URL: host (A-Z lower-cased), then
 
 Defined cases: a null URL or one without ``://`` has an empty host and path,
 which no rule fits; it falls to the default verdict. Of several fitting rules
-the longest wins, of equally long ones the first given. Empty table: no rows.
+the longest wins, of equally long ones the first given. Very long URLs are
+matched whole, repeated ones alike; extra columns stay, those named like an
+output are replaced. Empty table: no rows.
 """
 
 from __future__ import annotations
