@@ -59,11 +59,21 @@ WITH RECURSIVE crc_table AS (
   SELECT doc_id, text,
          list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes
   FROM documents
-), records AS (
+), hashed AS (
   SELECT b.doc_id, (coalesce(strlen(b.text), 0) + 1)::BIGINT AS size,
          xor(4294967295, list_reduce(b.bytes, lambda c, x: xor(c >> 8, t.t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32,
          ((('0x' || substr(md5(coalesce(b.doc_id::VARCHAR, '')), 1, 8))::BIGINT) % 4096)::INT AS vslot
   FROM byte_list b, crc_table t
+), hot AS (
+  SELECT doc_id FROM hashed GROUP BY doc_id
+  HAVING count(*) > 1 AND sum(size) * 8 * 16 > (SELECT sum(size) FROM hashed)
+), records AS (
+  SELECT h.doc_id, h.size, h.text_crc32,
+         CASE WHEN EXISTS (SELECT 1 FROM hot WHERE hot.doc_id IS NOT DISTINCT FROM h.doc_id)
+              THEN (((('0x' || substr(md5(concat_ws('/', h.doc_id, h.size, h.text_crc32)), 1, 8))::BIGINT) % 4096
+                    + row_number() OVER (PARTITION BY h.doc_id, h.size, h.text_crc32) - 1) % 4096)::INT
+              ELSE h.vslot END AS vslot
+  FROM hashed h
 ), loads AS (
   SELECT s.vslot::INT AS vslot, (s.vslot % 16)::INT AS shard,
          coalesce(sum(r.size), 0)::BIGINT AS bytes, count(r.size) AS n_rows
@@ -90,7 +100,7 @@ WITH RECURSIVE crc_table AS (
   FROM placed
 )
 SELECT r.doc_id, r.size, r.text_crc32::BIGINT AS text_crc32, 'bytes' AS law, o.shard,
-       (o.before + row_number() OVER (PARTITION BY r.vslot ORDER BY r.doc_id, r.text_crc32, r.size) - 1)::BIGINT AS slot,
+       (o.before + row_number() OVER (PARTITION BY r.vslot ORDER BY r.doc_id NULLS FIRST, r.text_crc32 NULLS FIRST, r.size) - 1)::BIGINT AS slot,
        NULL::INT AS grown_shard, r.vslot
 FROM records r JOIN offsets o ON o.vslot = r.vslot
 """

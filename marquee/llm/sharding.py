@@ -5,10 +5,16 @@ shard holds a slot is said by a map of ``n_slots`` rows, kept as one parquet
 folder per version. Balancing measures bytes and rows per slot and *edits* the
 map: slots move, records are never rehashed. All of it is DataFrame work.
 
+An id (null included) that repeats until it holds more than an eighth of a
+shard's equal share is hot: one slot would then outweigh what a map can even
+out. The records of a hot id are dealt by their id, size and text checksum,
+and equal ones round robin from that slot on. At most ``HOT_PARTS * n_shards``
+ids can be hot; they are found by counting the records of overfull slots only.
+
 Defined cases:
 
 * null key: hashed as the empty string; null text: no bytes, size 1;
-* repeated rows: all in one slot, each counted and numbered on its own;
+* repeated rows: in one slot unless their id is hot, each counted and numbered on its own;
 * a very long text counts with all its bytes; slots of equal size are placed
   in order of their number;
 * empty table: every slot keeps its shard, no rows come out;
@@ -22,10 +28,12 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marquee.session import scratch_path
+from marquee.session import materialized, scratch_path
 
 N_SLOTS = 4096
 MAX_SLOTS = 65536  # the map is broadcast: at most this many rows of 40 bytes
+HOT_PARTS = 8  # a hot id holds more than one of this many parts of a shard's share
+COPY_BLOCK = 1 << 16  # equal records of a hot id numbered by one row
 
 
 def slot_of(key: Column, n_slots: int = N_SLOTS) -> Column:
@@ -39,6 +47,51 @@ def record_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + F.lit(1)
 
 
+def slim_records(docs: DataFrame, n_slots: int = N_SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, size, text_crc32, vslot): what placing needs of a document, written once, so that texts are read once."""
+    records = docs.select(
+        F.col(key).alias("key"),
+        record_size(F.col(text)).alias("size"),
+        F.crc32(F.col(text).cast("binary")).alias("text_crc32"),
+        slot_of(F.col(key), n_slots).alias("vslot"),
+    )
+    return materialized(records, "records")
+
+
+def hot_keys(records: DataFrame, n_shards: int) -> DataFrame:
+    """(hot_key, hot): the repeated keys beyond one part of a shard's share; fewer than ``HOT_PARTS * n_shards`` rows."""
+    total = F.sum("bytes").over(Window.partitionBy(F.lit(0)))  # over at most ``n_slots`` loads
+    beyond = f"n_rows > 1 and bytes * {HOT_PARTS * n_shards} > total"
+    overfull = slot_loads(records).withColumn("total", total).where(beyond).select("vslot", "total")
+    by_key = records.join(F.broadcast(overfull), "vslot").groupBy("key")
+    counted = by_key.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"), F.max("total").alias("total"))
+    return materialized(counted.where(beyond).select(F.col("key").alias("hot_key"), F.lit(True).alias("hot")), "hot-keys")
+
+
+def dealt_slot(key: Column, size: Column, checksum: Column, copy: Column, n_slots: int) -> Column:
+    """Virtual slot of one of several equal records of a hot key."""
+    return F.pmod(slot_of(F.concat_ws("/", key, size, checksum), n_slots) + copy, F.lit(n_slots)).cast("int")
+
+
+def spread_hot(records: DataFrame, hot: DataFrame, n_slots: int) -> DataFrame:
+    """``records`` with those of hot keys dealt over the slots.
+
+    Equal records are interchangeable, so they are counted and numbered from
+    their count, in blocks; no task holds all records of a key.
+    """
+    if hot.isEmpty():
+        return records
+    marked = records.join(F.broadcast(hot), F.col("key").eqNullSafe(F.col("hot_key")), "left")
+    same = ["key", "size", "text_crc32"]
+    counted = marked.where("hot").groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = counted.withColumn("block", F.expr(f"explode(sequence(0, (n - 1) div {COPY_BLOCK}))")).repartition(parts, *same, "block")
+    last = f"least(n, (block + 1) * {COPY_BLOCK}) - 1"
+    copies = blocks.withColumn("copy", F.expr(f"explode(sequence(block * {COPY_BLOCK}, {last}))"))
+    slot = dealt_slot(F.col("key"), F.col("size"), F.col("text_crc32"), F.col("copy"), n_slots)
+    return marked.where("hot is null").select(*same, "vslot").unionByName(copies.select(*same, slot.alias("vslot")))
+
+
 def initial_map(spark: SparkSession, n_shards: int, n_slots: int = N_SLOTS) -> DataFrame:
     """Slots dealt round robin: (vslot, shard)."""
     if not 0 < n_slots <= MAX_SLOTS:
@@ -134,15 +187,26 @@ def balanced_map(records: DataFrame, n_shards: int, n_slots: int, folder: str) -
 def assign_shards(
     docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, key: str = "doc_id", text: str = "text", folder: str | None = None
 ) -> DataFrame:
-    """``docs`` with ``vslot`` and ``shard``, balanced by bytes. The documents themselves are not shuffled."""
+    """``docs`` with ``vslot`` and ``shard``, balanced by bytes. The documents themselves are not shuffled.
+
+    Rows of a hot key take a slot by their place in the input, all others by their key.
+    """
     folder = folder or scratch_path(docs.sparkSession, "slot-map")
+    records = slim_records(docs, n_slots, key, text)
+    hot = hot_keys(records, n_shards)
+    current, _ = balanced_map(spread_hot(records, hot, n_slots), n_shards, n_slots, folder)
     vslot = slot_of(F.col(key), n_slots)
-    sized = docs.select(vslot.alias("vslot"), record_size(F.col(text)).alias("size"))
-    current, _ = balanced_map(sized, n_shards, n_slots, folder)
+    marked = docs
+    if not hot.isEmpty():
+        named = F.broadcast(hot.select(F.col("hot_key").alias("__key"), F.col("hot").alias("__hot")))
+        copy = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_slots))
+        dealt = dealt_slot(F.col(key), record_size(F.col(text)), F.crc32(F.col(text).cast("binary")), copy, n_slots)
+        marked = docs.join(named, F.col(key).eqNullSafe(F.col("__key")), "left")
+        vslot = F.when(F.col("__hot"), dealt).otherwise(vslot)
     placed = F.broadcast(current.withColumnRenamed("vslot", "__vslot").withColumnRenamed("shard", "__shard"))
     kept = [c for c in docs.columns if c.lower() not in ("vslot", "shard")]
     return (
-        docs.withColumn("__vslot", vslot)
+        marked.withColumn("__vslot", vslot)
         .join(placed, "__vslot")
         .select(*kept, F.col("__vslot").alias("vslot"), F.col("__shard").alias("shard"))
     )
@@ -174,16 +238,11 @@ def place_in_shards(records: DataFrame, slot_map: DataFrame, loads: DataFrame, o
 
 def shard_report(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS) -> DataFrame:
     """The shard of every document under the law ``bytes``: shards hold near equal bytes."""
-    records = docs.select(
-        "doc_id",
-        record_size(F.col("text")).alias("size"),
-        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-        slot_of(F.col("doc_id"), n_slots).alias("vslot"),
-    )
-    folder = scratch_path(docs.sparkSession, "slot-map")
-    current, loads = balanced_map(records.select("vslot", "size"), n_shards, n_slots, folder)
-    return place_in_shards(records, current, loads, ["doc_id", "text_crc32", "size"]).select(
-        "doc_id",
+    records = slim_records(docs, n_slots)
+    spread = spread_hot(records, hot_keys(records, n_shards), n_slots)
+    current, loads = balanced_map(spread, n_shards, n_slots, scratch_path(docs.sparkSession, "slot-map"))
+    return place_in_shards(spread, current, loads, ["key", "text_crc32", "size"]).select(
+        F.col("key").alias("doc_id"),
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),

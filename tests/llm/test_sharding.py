@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import brute as B
+from marquee.llm import oracle
 from marquee.llm import sharding as S
 
 SCHEMA = "doc_id bigint, text string, shard string, vslot string, size string"
@@ -64,7 +68,34 @@ def test_versions_of_the_map(spark, tmp_path):
     assert set(load) == {0, 1, 2, 3, 4} and load[4] < 2 * sum(load.values()) / 5
 
 
-def test_hot_slot_of_a_third_of_all_rows(spark):
-    docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("text").alias("text"))
-    rows = S.shard_report(docs, n_slots=64).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()
-    assert sum(r.n for r in rows) == 3000 and all(r.last == r.n - 1 for r in rows)
+@pytest.mark.parametrize("hot_id, hot_text", [(7, "text"), (None, "text"), (None, "id")])
+def test_hot_id_of_a_third_of_all_rows(spark, hot_id, hot_text, monkeypatch):
+    """Equal rows, or different texts, of one id: near equal bytes all the same, and few rows per virtual slot."""
+    monkeypatch.setattr(S, "COPY_BLOCK", 100)
+    hot = F.col("id") % 3 == 0
+    text = F.lit("text") if hot_text == "text" else F.lpad(F.col("id").cast("string"), 4, "0")
+    docs = spark.range(6000).select(F.when(hot, F.lit(hot_id).cast("bigint")).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
+    report = S.shard_report(docs, n_slots=256)
+    rows = report.collect()
+    want = sorted(str((None if k is None else k, 5, B.crc(t))) for k, t in docs.collect())
+    assert sorted(str((r.doc_id, r.size, r.text_crc32)) for r in rows) == want
+    places, slots = defaultdict(list), Counter(r.vslot for r in rows)
+    for r in rows:
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(map(len, places.values())) - min(map(len, places.values())) <= max(slots.values()) < 100
+    assigned = S.assign_shards(docs, 16, n_slots=256)
+    shards = Counter(r.shard for r in assigned.collect())
+    assert sum(shards.values()) == 6000 and len(shards) == 16 and max(shards.values()) < 1.3 * 6000 / 16
+
+
+def test_sql_of_a_hot_id(spark):
+    hot = F.col("id") % 3 == 0
+    docs = spark.range(1500).select(
+        F.when(hot, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("doc_id"),
+        F.when(F.col("id") % 6 == 0, "same").otherwise(F.concat(F.lit("é"), F.col("id"))).alias("text"),
+    )
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r.doc_id for r in docs.collect()], pa.int64()), "text": [r.text for r in docs.collect()]}))
+    want = con.execute(oracle.SQL["op2_sharding"]).fetchall()
+    assert sorted(map(str, map(tuple, S.shard_report(docs).collect()))) == sorted(map(str, want))
