@@ -7,9 +7,11 @@ hit is verified against the window's words themselves. Hits mark words;
 documents or just the hit spans can then be removed.
 
 The broadcast is bounded: windows are dealt by hash into blocks of about
-``BLOCK_BYTES`` of window text, and the documents pass each block in turn
-(chained narrow steps of one stage, no shuffle). A benchmark of usual size is
-one block, and the driver holds one block at a time.
+``BLOCK_BYTES`` of window text. A benchmark of usual size is one block and one
+narrow step, no shuffle. Of a larger one, every block but the last is a pass of
+its own over the texts that writes the hits alone, by text; the last pass takes
+the earlier hits with it through a join on the text's digest. At any number of
+blocks a task has one Python worker that holds one block, and so has the driver.
 
 Defined cases:
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -111,11 +114,32 @@ SCAN = "struct<n_words:bigint,words:array<int>,items:array<string>,clean:string>
 def scan(docs: DataFrame, bench: DataFrame, n: int = WINDOW, with_clean: bool = False, text: str = "text") -> DataFrame:
     """``docs`` with struct ``leak``: n_words, words (places of hit words), items (ids), clean (text without hit spans, if asked for)."""
     spark = docs.sparkSession
-    out = docs.withColumn("leak", F.lit(None).cast(SCAN))
+    earlier = []
+    none = F.lit(None).cast("array<int>"), F.lit(None).cast("array<string>")
     for block, last in _blocks(bench, n):
-        look = _looker(spark.sparkContext.broadcast(block), with_clean and last)
-        out = out.withColumn("leak", look(F.col(text), F.col("leak.words"), F.col("leak.items")))
-    return out
+        known = spark.sparkContext.broadcast(block)
+        if last:
+            break
+        found = docs.select(F.col(text).alias("text")).select("text", _looker(known, False)("text", *none).alias("leak"))
+        hits = found.where(F.size("leak.words") > 0).select(_digest("text").alias("digest"), "leak.words", "leak.items")
+        earlier.append(materialized(hits.groupBy("digest").agg(F.first("words").alias("words"), F.first("items").alias("items")), "hits"))
+        known.unpersist()
+    look = _looker(known, with_clean)
+    if not earlier:
+        return docs.withColumn("leak", look(F.col(text), *none))
+    merged = reduce(DataFrame.unionAll, earlier).groupBy("digest").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+    )
+    merged = materialized(merged.select("digest", F.struct("words", "items").alias("leak")), "merged-hits")
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.join(merged, _digest(f"row.{text}") == F.col("digest"), "left").select("row", "leak")
+    rows = rows.select("row", look(F.col(f"row.{text}"), F.col("leak.words"), F.col("leak.items")).alias("leak"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "leak"], "leak")
+
+
+def _digest(text: str) -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256)
 
 
 def _looker(block: Broadcast, with_clean: bool):

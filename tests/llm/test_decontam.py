@@ -50,6 +50,18 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, D.leak_report(df, bench).collect()), key=str) == one
 
 
+def test_many_blocks_cut_the_same_spans_with_one_python_worker(spark, monkeypatch):
+    docs, items = cases(5)
+    df, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)
+    one = sorted(map(tuple, D.decontaminate(df, bench, remove="spans").collect()), key=str)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 150)
+    assert len(list(D._blocks(bench, 10))) > 8
+    out = D.decontaminate(df, bench, remove="spans")
+    assert sorted(map(tuple, out.collect()), key=str) == one
+    found = D.scan(df, bench).select("doc_id", "leak")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_removal(spark):
     docs, items = cases(3)
     df, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)
