@@ -19,7 +19,13 @@ and nearly no other passes; beyond, the limit allows for six deviations.
    its largest component are compared, by sketch, with the documents of other
    components; passing pairs are verified, best first, until every pair is
    verified or lies within one component. No group is ever expanded into all
-   its pairs, and no candidate is dropped.
+   its pairs, and no similar pair is dropped.
+   Before that, shingles that only one component has are counted. They are in
+   no link still to be found, so they bound the size of a partner
+   (``_with_reach``): documents that no partner can reach leave the buckets,
+   and those that could only link to a smaller one aren't compared with each
+   other. So a family that shares boilerplate but differs in its own words
+   costs no pairs.
 4. Components of the verified links; the smallest id names a component.
 
 With 32 bands of 6 rows, a pair of similarity 0.85 shares no band with
@@ -271,38 +277,76 @@ def _best_leaders(pairs: DataFrame, reps: DataFrame, similar: Similar) -> DataFr
     )
 
 
-def _cross_pairs(opened: DataFrame, reps: DataFrame, similar: Similar) -> DataFrame:
+def _with_reach(opened: DataFrame, reps: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
+    """``opened`` with ``n`` and ``reach``, the most shingles a partner of another component can have.
+
+    Of a document's ``n`` shingles, ``m`` occur in other components too. A
+    partner of ``k`` shingles shares at most ``m``, and a link needs at least
+    ``high * (n + k) / (of + high)`` shared ones, which bounds ``k``. Documents
+    whose bound is below ``high * n / of``, the least size of a partner, are
+    left out.
+    """
+    docs = materialized(opened.select("rep", "comp").distinct(), "open-documents")
+    held = docs.join(sets, "rep").select("rep", "comp", F.explode("shingles").alias("s"))
+    own = held.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi").select("s")
+    n_own = held.join(own, "s", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("n_own"))
+    high, of = similar.high, similar.of
+    m = F.col("n") - F.coalesce("n_own", F.lit(0))
+    reach = F.floor(m * (of + high) / high) - F.col("n")
+    bounded = reps.select("rep", "n").join(docs.select("rep"), "rep").join(n_own, "rep", "left").select("rep", "n", reach.alias("reach"))
+    near = materialized(bounded.where(F.col("reach") * of >= F.col("n") * high), "reach")
+    return opened.join(near, "rep")
+
+
+def _compared(reached: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Parts (outside, others) that hold every pair to compare; ``later`` marks others that are outside too.
+
+    Of two documents that each reach smaller partners only, neither reaches the other.
+    """
+    in_main, down = F.col("comp") == F.col("main"), F.col("reach") < F.col("n")
+    others = reached.withColumn("later", ~in_main & ~down)
+    return [(reached.where(~in_main & ~down), others), (reached.where(~in_main & down), others.where(in_main & ~down))]
+
+
+def _cross_pairs(opened: DataFrame, reps: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     """Distinct pairs of different components that share a bucket and pass the sketch test: (a, b, bits).
 
     One side of a pair always lies outside the bucket's main component, and
     the sketch test is part of the join's condition.
     """
-    full = opened.join(reps.select("rep", "n", "sketch"), "rep")
-    outside = full.where("comp != main").select(
-        "key", F.col("rep").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), *_spread("x")
-    )
-    others = full.select(
-        F.col("key").alias("key_b"),
-        F.col("rep").alias("b"),
-        F.col("comp").alias("comp_b"),
-        F.col("n").alias("n_b"),
-        (F.col("comp") == F.col("main")).alias("in_main"),
-        *_spread("y"),
-    )
+    sketches = reps.select("rep", "sketch")
     differ = _differing("x", "y")
-    return (
-        outside.join(
-            others,
+    found = []
+    for outside, others in _compared(_with_reach(opened, reps, sets, similar)):
+        left = outside.join(sketches, "rep").select(
+            "key",
+            F.col("rep").alias("a"),
+            F.col("comp").alias("comp_a"),
+            F.col("n").alias("n_a"),
+            F.col("reach").alias("reach_a"),
+            *_spread("x"),
+        )
+        right = others.join(sketches, "rep").select(
+            F.col("key").alias("key_b"),
+            F.col("rep").alias("b"),
+            F.col("comp").alias("comp_b"),
+            F.col("n").alias("n_b"),
+            F.col("reach").alias("reach_b"),
+            "later",
+            *_spread("y"),
+        )
+        pairs = left.join(
+            right,
             (F.col("key") == F.col("key_b"))
             & (F.col("comp_a") != F.col("comp_b"))
-            & (F.col("in_main") | (F.col("comp_a") < F.col("comp_b")))
+            & (~F.col("later") | (F.col("comp_a") < F.col("comp_b")))
+            & (F.col("n_b") <= F.col("reach_a"))
+            & (F.col("n_a") <= F.col("reach_b"))
             & _sizes_allow("n_a", "n_b", similar)
             & (differ <= max_differing(F.col("n_a"), F.col("n_b"), similar)),
         )
-        .select("a", "b", differ.alias("bits"))
-        .groupBy("a", "b")
-        .agg(F.min("bits").alias("bits"))
-    )
+        found.append(pairs.select("a", "b", differ.alias("bits")))
+    return found[0].unionAll(found[1]).groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
 def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
@@ -326,7 +370,7 @@ def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, similar: Simil
         found = components(links)
 
     best_first = Window.partitionBy("a").orderBy("bits", "b")
-    pairs = materialized(_cross_pairs(opened, reps, similar), "cross-pairs")
+    pairs = materialized(_cross_pairs(opened, reps, sets, similar), "cross-pairs")
     take = 1
     while not pairs.isEmpty():
         ranked = materialized(pairs.withColumn("place", F.row_number().over(best_first)), "ranked-pairs")

@@ -59,6 +59,25 @@ def test_borderline_family_needs_more_than_leaders(spark):
     assert got == B.components(docs)
 
 
+@pytest.mark.parametrize("size", [60, 180])
+def test_boilerplate_below_the_limit_is_not_compared(spark, monkeypatch, size):
+    """Texts of 200 common and 24 own words (similarity 0.8), some with a near copy: comparisons grow no faster than rows."""
+    common = [f"c{k}" for k in range(200)]
+    texts = [common + [f"own{d}x{k}" for k in range(24)] for d in range(size)]
+    texts += [["changed", *texts[d][1:]] for d in range(0, size, 6)]
+    docs = {i: " ".join(t) for i, t in enumerate(texts)}
+    compared, parts = [], N._compared
+
+    def counted(reached):
+        for outside, others in parts(reached):
+            compared.append(outside.select("key", "rep").join(others.select("key"), "key").count())
+        return parts(reached)
+
+    monkeypatch.setattr(N, "_compared", counted)
+    assert {r.doc_id: r.component_id for r in judged(spark, docs.items())} == B.components(docs)
+    assert compared and sum(compared) <= 32 * len(docs)
+
+
 def test_a_third_of_all_rows_in_one_group(spark):
     docs = {i: ("same text of one large group " * 3 if i % 3 == 0 else f"word{i} " * 7 + str(i)) for i in range(900)}
     got = judged(spark, docs.items())
