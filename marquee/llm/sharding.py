@@ -189,20 +189,22 @@ def assign_shards(
 ) -> DataFrame:
     """``docs`` with ``vslot`` and ``shard``, balanced by bytes. The documents themselves are not shuffled.
 
-    Rows of a hot key take a slot by their place in the input, all others by their key.
+    Rows of a hot key take a slot by their place in the input, all others by their key. The loads are
+    measured on the same slots; over an input that doesn't come in stable partitions, hot rows are near them.
     """
     folder = folder or scratch_path(docs.sparkSession, "slot-map")
     records = slim_records(docs, n_slots, key, text)
     hot = hot_keys(records, n_shards)
-    current, _ = balanced_map(spread_hot(records, hot, n_slots), n_shards, n_slots, folder)
     vslot = slot_of(F.col(key), n_slots)
-    marked = docs
+    marked, measured = docs, records
     if not hot.isEmpty():
         named = F.broadcast(hot.select(F.col("hot_key").alias("__key"), F.col("hot").alias("__hot")))
         copy = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_slots))
         dealt = dealt_slot(F.col(key), record_size(F.col(text)), F.crc32(F.col(text).cast("binary")), copy, n_slots)
         marked = docs.join(named, F.col(key).eqNullSafe(F.col("__key")), "left")
         vslot = F.when(F.col("__hot"), dealt).otherwise(vslot)
+        measured = marked.select(vslot.alias("vslot"), record_size(F.col(text)).alias("size"))
+    current, _ = balanced_map(measured, n_shards, n_slots, folder)
     placed = F.broadcast(current.withColumnRenamed("vslot", "__vslot").withColumnRenamed("shard", "__shard"))
     kept = [c for c in docs.columns if c.lower() not in ("vslot", "shard")]
     return (
