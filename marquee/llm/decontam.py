@@ -6,8 +6,8 @@ broadcast; every window of every document is hashed and looked up, and each
 hit is verified against the window's words themselves. Hits mark words;
 documents or just the hit spans can then be removed.
 
-The broadcast is bounded: windows are dealt by hash into blocks of about
-``BLOCK_BYTES`` of window text. A benchmark of usual size is one block and one
+The broadcast is bounded: windows are dealt by hash, with their item, into
+blocks of about ``BLOCK_BYTES``; the items of a hot window lie in many blocks. A benchmark of usual size is one block and one
 narrow step, no shuffle. Of a larger one, every block but the last is a pass of
 its own over the texts that writes the hits alone, by text; the last pass takes
 the earlier hits with it through a join on the text's digest. At any number of
@@ -51,18 +51,13 @@ def normal_words(text: Column) -> Column:
 
 
 def windows(bench: DataFrame, n: int = WINDOW, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(window, item_ids): the distinct windows, words joined by a blank, with the ids of their items."""
+    """(window, item_id): every different window of every item, words joined by a blank; a hot window is many rows."""
     listed = bench.select(F.col(item_id).cast("string").alias("item_id"), normal_words(F.col(text)).alias("w"))
     runs = F.when(
         F.size("w") >= n,
         F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " ")),
     ).when(F.size("w") > 0, F.array(F.array_join("w", " ")))
-    return (
-        listed.where(F.size("w") > 0)
-        .select("item_id", F.explode(F.array_distinct(runs)).alias("window"))
-        .groupBy("window")
-        .agg(F.collect_set("item_id").alias("item_ids"))
-    )
+    return listed.where(F.size("w") > 0).select(F.explode(F.array_distinct(runs)).alias("window"), "item_id").distinct()
 
 
 class WindowSet:
@@ -99,13 +94,20 @@ class WindowSet:
 
 
 def _blocks(bench: DataFrame, n: int) -> Iterator[tuple[dict[bytes, list[str]], bool]]:
-    """Blocks of windows with their item ids, one at a time, and whether a block is the last."""
+    """Blocks of windows with their item ids, one at a time, and whether a block is the last.
+
+    Windows are dealt with their item, so the items of a hot window lie in many blocks.
+    """
     found = materialized(windows(bench, n), "benchmark-windows")
-    total = found.agg(F.sum(F.octet_length("window") + 16 * F.size("item_ids") + 64)).first()[0] or 0
-    count = 1 + int(total) // BLOCK_BYTES
+    size = F.octet_length("window") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 128
+    count = 1 + int(found.agg(F.sum(size)).first()[0] or 0) // BLOCK_BYTES
     for b in range(count):
-        part = found.where(F.pmod(F.xxhash64("window"), F.lit(count)) == b)
-        yield {r.window.encode(): r.item_ids for r in part.toLocalIterator()}, b == count - 1
+        block: dict[bytes, list[str]] = {}
+        for r in found.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(count)) == b).toLocalIterator():
+            ids = block.setdefault(r.window.encode(), [])
+            if r.item_id is not None:
+                ids.append(r.item_id)
+        yield block, b == count - 1
 
 
 SCAN = "struct<n_words:bigint,words:array<int>,items:array<string>,clean:string>"

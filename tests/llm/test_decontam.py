@@ -50,6 +50,23 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, D.leak_report(df, bench).collect()), key=str) == one
 
 
+def test_items_of_a_hot_window_lie_in_many_blocks(spark, monkeypatch):
+    shared = "one two three four five six seven eight nine ten"
+    items = [(k, f"{shared} own{k} tail{k}", "x") for k in range(300)] + [(None, shared, "x"), (7, shared, "x")]
+    docs = [(1, f"He said {shared} and left", "", 0), (2, f"two {shared} own5 x", "", 0), (3, "one two three", "", 0)]
+    df, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)
+    assert D.windows(bench).where(f"window = '{shared}'").count() == 301
+    monkeypatch.setattr(D, "BLOCK_BYTES", 50_000)
+    holding = [shared.encode() in block for block, _ in D._blocks(bench, 10)]
+    assert len(holding) > 2 and all(holding)
+    got = {r.doc_id: tuple(r)[1:5] for r in D.leak_report(df, bench).collect()}
+    pairs = [(i, t) for i, t, _ in items]
+    for d, text, *_ in docs:
+        n_words, n_hit, ids, sha = B.leaks(text, pairs)
+        assert got[d] == (n_words, n_hit, len(ids), sha)
+    assert got[1][2] == 300
+
+
 def test_many_blocks_cut_the_same_spans_with_one_python_worker(spark, monkeypatch):
     docs, items = cases(5)
     df, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)
