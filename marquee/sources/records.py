@@ -3,8 +3,9 @@
 Every parser takes a frame with one string column ``value`` (one input line
 per row, as ``spark.read.text`` or ``spark.readStream.text`` produce it) and
 returns :class:`Ingested` with the typed rows and the rejected lines with a
-reason. Parsing is one projection of built-in expressions, so it runs inside
-the scan stage and needs no shuffle; batch and streaming frames both work.
+reason. Parsing is a few projections of built-in expressions, so it runs inside
+the scan stage and needs no shuffle; batch and streaming frames both work. A
+line is read, stripped, split and typed once, whatever is asked of the result.
 
 Rules, applied to every line:
 
@@ -129,8 +130,10 @@ def mark_first_lines(lines: DataFrame, keep: list[str]) -> DataFrame:
     return scanned.mapInArrow(mark, f"{fields}, first_line boolean")
 
 
-def _fields(line: Column, quoted: bool) -> Column:
-    stripped = strip_ws(line)
+TEXT, FIELDS = "__text", "__fields"  # columns: the stripped line, and its fields
+
+
+def _fields(stripped: str, quoted: bool) -> Column:
     if not quoted:
         return F.split(stripped, ",")
     parts = F.regexp_extract_all(F.concat(F.lit(","), stripped), F.lit(_FIELD), 1)
@@ -142,20 +145,29 @@ def _fields(line: Column, quoted: bool) -> Column:
     return F.transform(parts, unquote)
 
 
-def _split_result(df: DataFrame, reason: Column, typed: list[Column]) -> Ingested:
-    kept = [F.col(c) for c in df.columns if c == "position"]
-    tagged = df.select(*typed, *kept, F.col("value").alias("line"), reason.alias("reason"))
-    names = [c for c in tagged.columns if c not in ("line", "reason")]
+def _split_result(lines: DataFrame, quoted: bool, typed: list[Column], reason: Column) -> Ingested:
+    """``typed`` are columns of ``TEXT`` and ``FIELDS``; ``reason`` may name them, too.
+
+    A filter on the reason would be pushed below the projections, and every
+    expression from the line's own on repeated in it wherever it is named. A
+    generator stops it: one row per line, its reason exploded from an array of one.
+    """
+    read = lines.select(*(c for c in lines.columns if c in ("value", "position", "first_line")), strip_ws("value").alias(TEXT))
+    split = read.withColumn(FIELDS, _fields(TEXT, quoted))
+    parsed = split.select(*split.columns, *typed)
+    names = [c for c in parsed.columns if c not in ("value", "first_line", "position", TEXT, FIELDS)]
+    names += [c for c in parsed.columns if c == "position"]
+    tagged = parsed.select(*names, F.col("value").alias("line"), F.explode(F.array(reason)).alias("reason"))
     rows = tagged.where(F.col("reason").isNull()).select(*names)
     rejects = tagged.where(F.col("reason").isNotNull()).select("line", "reason")
     return Ingested(rows, rejects, tagged)
 
 
-def _base_reason(line: Column, header: Column, n: Column, min_fields: int) -> Column:
+def _base_reason(header: Column, min_fields: int) -> Column:
     return (
-        F.when(strip_ws(line) == F.lit(""), F.lit("blank"))
+        F.when(F.col(TEXT) == F.lit(""), F.lit("blank"))
         .when(header, F.lit("header"))
-        .when(n < F.lit(min_fields), F.lit("too_few_fields"))
+        .when(F.size(FIELDS) < F.lit(min_fields), F.lit("too_few_fields"))
     )
 
 
@@ -186,22 +198,20 @@ def ingest_movies(
     or ``"contains"`` for a line that holds the name anywhere.
     """
     is_first = F.col("first_line") if first_line_only else F.lit(True)
-    header = is_first & is_header(F.col("value"), *MOVIE_HEADER, anywhere=_anywhere(header_form))
-    f = _fields(F.col("value"), title_mode == "rejoin" if quoted is None else quoted)
-    n = F.size(f)
-    movie_id = strip_ws(F.get(f, 0))
+    header = is_first & is_header(TEXT, *MOVIE_HEADER, anywhere=_anywhere(header_form))
     if title_mode == "rejoin":
-        title = strip_ws(F.array_join(F.slice(f, 2, F.greatest(n - 2, F.lit(0))), ","))
+        title = strip_ws(F.array_join(F.slice(FIELDS, 2, F.greatest(F.size(FIELDS) - 2, F.lit(0))), ","))
     elif title_mode == "second_field":
-        title = strip_ws(F.get(f, 1))
+        title = strip_ws(F.get(FIELDS, 1))
     else:
         raise ValueError(f"unknown title_mode {title_mode!r}")
-    genres = split_list(F.element_at(f, -1), "|")
-    reason = _base_reason(F.col("value"), header, n, 3).when(
-        (movie_id == F.lit("")) | (title == F.lit("")), F.lit("blank_field")
-    )
+    genres = split_list(F.element_at(FIELDS, -1), "|")
+    reason = _base_reason(header, 3).when((F.col("movie_id") == F.lit("")) | (F.col("title") == F.lit("")), F.lit("blank_field"))
     return _split_result(
-        lines, reason, [movie_id.alias("movie_id"), title.alias("title"), genres.alias("genres")]
+        lines,
+        title_mode == "rejoin" if quoted is None else quoted,
+        [strip_ws(F.get(FIELDS, 0)).alias("movie_id"), title.alias("title"), genres.alias("genres")],
+        reason,
     )
 
 
@@ -212,25 +222,21 @@ def ingest_ratings(lines: DataFrame, min_fields: int = 4, quoted: bool | None =
     per-movie reports never read it, and reads ratings by the wider grammar of
     :func:`to_java_double` (``4.5f`` is a number there).
     """
-    f = _fields(F.col("value"), min_fields >= 4 if quoted is None else quoted)
-    n = F.size(f)
-    rating = (to_double if min_fields >= 4 else to_java_double)(strip_ws(F.get(f, 2)))
-    ts_text = strip_ws(F.get(f, 3))
-    ts = to_long(ts_text)
+    to_rating = to_double if min_fields >= 4 else to_java_double
+    ts = F.col("ts")
     # With fewer than 4 required fields the timestamp is never validated.
     bad_ts = ts.isNull() | ~in_calendar(ts) if min_fields >= 4 else F.lit(False)
-    reason = _base_reason(F.col("value"), is_header(F.col("value"), *RATING_HEADER), n, min_fields).when(
-        rating.isNull() | bad_ts, F.lit("bad_number")
-    )
+    reason = _base_reason(is_header(TEXT, *RATING_HEADER), min_fields).when(F.col("rating").isNull() | bad_ts, F.lit("bad_number"))
     return _split_result(
         lines,
-        reason,
+        min_fields >= 4 if quoted is None else quoted,
         [
-            strip_ws(F.get(f, 0)).alias("user_id"),
-            strip_ws(F.get(f, 1)).alias("movie_id"),
-            rating.alias("rating"),
-            ts.alias("ts"),
+            strip_ws(F.get(FIELDS, 0)).alias("user_id"),
+            strip_ws(F.get(FIELDS, 1)).alias("movie_id"),
+            to_rating(strip_ws(F.get(FIELDS, 2))).alias("rating"),
+            to_long(strip_ws(F.get(FIELDS, 3))).alias("ts"),
         ],
+        reason,
     )
 
 
@@ -240,32 +246,26 @@ def ingest_users(lines: DataFrame, min_fields: int = 5, quoted: bool | None = No
     ``min_fields=2`` is the id-to-gender lookup: the age is read if it is a
     number and NULL if not, and never rejects a line.
     """
-    f = _fields(F.col("value"), min_fields >= 5 if quoted is None else quoted)
-    n = F.size(f)
-    age = to_int(strip_ws(F.get(f, 2)))
-    reason = _base_reason(F.col("value"), is_header(F.col("value"), *USER_HEADER), n, min_fields).when(
-        age.isNull() if min_fields >= 3 else F.lit(False), F.lit("bad_number")
+    reason = _base_reason(is_header(TEXT, *USER_HEADER), min_fields).when(
+        F.col("age").isNull() if min_fields >= 3 else F.lit(False), F.lit("bad_number")
     )
     return _split_result(
         lines,
-        reason,
+        min_fields >= 5 if quoted is None else quoted,
         [
-            strip_ws(F.get(f, 0)).alias("user_id"),
-            strip_ws(F.get(f, 1)).alias("gender"),
-            age.alias("age"),
-            strip_ws(F.get(f, 3)).alias("occupation_id"),
-            strip_ws(F.get(f, 4)).alias("zip_code"),
+            strip_ws(F.get(FIELDS, 0)).alias("user_id"),
+            strip_ws(F.get(FIELDS, 1)).alias("gender"),
+            to_int(strip_ws(F.get(FIELDS, 2))).alias("age"),
+            strip_ws(F.get(FIELDS, 3)).alias("occupation_id"),
+            strip_ws(F.get(FIELDS, 4)).alias("zip_code"),
         ],
+        reason,
     )
 
 
 def ingest_occupations(lines: DataFrame, quoted: bool = True) -> Ingested:
     """``id, name``; the name is every field after the first joined with commas."""
-    f = _fields(F.col("value"), quoted)
-    n = F.size(f)
-    occ_id = strip_ws(F.get(f, 0))
-    name = strip_ws(F.array_join(F.slice(f, 2, F.greatest(n - 1, F.lit(1))), ","))
-    reason = _base_reason(F.col("value"), is_header(F.col("value"), *OCCUPATION_HEADER), n, 2).when(
-        (occ_id == F.lit("")) | (name == F.lit("")), F.lit("blank_field")
-    )
-    return _split_result(lines, reason, [occ_id.alias("occupation_id"), name.alias("occupation_name")])
+    name = strip_ws(F.array_join(F.slice(FIELDS, 2, F.greatest(F.size(FIELDS) - 1, F.lit(1))), ","))
+    blank = (F.col("occupation_id") == F.lit("")) | (F.col("occupation_name") == F.lit(""))
+    reason = _base_reason(is_header(TEXT, *OCCUPATION_HEADER), 2).when(blank, F.lit("blank_field"))
+    return _split_result(lines, quoted, [strip_ws(F.get(FIELDS, 0)).alias("occupation_id"), name.alias("occupation_name")], reason)

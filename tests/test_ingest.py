@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import itertools
+
 from conftest import lines, rows
+from pyspark.sql import functions as F
 
+from marquee.functions.scalar import strip_ws
 from marquee.sources import records as REC
 from marquee.sources import reviews as RV
 from marquee.sources import sinks as SK
@@ -177,3 +181,20 @@ def test_delimited_files_hold_the_values_as_they_are(spark, tmp_path):
     assert rows(spark.read.text(f"{tmp_path}/tsv"))[0] == ("a,b\t\tNULL\t1",)
     back = SK.read_delimited(spark, f"{tmp_path}/tsv", "a string, b string, c string, n int", null_value="NULL")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_line_is_made_and_split_once(spark):
+    # the line's own expression, and what the parser makes of it, stand once in the plan
+    made = spark.range(3).select(F.reverse(F.concat_ws(",", "id", "id", "id", "id", "id")).alias("value"))
+    for res in (REC.ingest_ratings(made, min_fields=3), REC.ingest_ratings(made, quoted=False), REC.ingest_users(made, quoted=False), REC.ingest_movies(made, quoted=False), REC.ingest_occupations(made, quoted=False)):
+        for df in (res.rows, res.rejects):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("reverse(") == 1
+            assert plan.count("split(__text") == 1
+
+
+def test_strip_ws_is_the_regular_expression(spark):
+    pieces = ["", " ", "\t", "\r", "\n", "\x0b", "\f", "\x85", " ", " ", "\xa0", "a", "é b"]
+    texts = ["".join(p) for n in range(4) for p in itertools.product(pieces, repeat=n)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "s string")
+    assert df.where(~strip_ws("s").eqNullSafe(F.regexp_replace("s", r"^\s+|\s+$", ""))).count() == 0
