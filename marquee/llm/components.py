@@ -18,9 +18,10 @@ SALTS = 16
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges ``u``, ``v`` with ``m``, the smallest of ``u`` and its neighbours."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt"])
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    # a node is sent to the salts that its edges have, so there are never more rows than edges
+    least = salted.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("salt").alias("salts"))
+    return salted.join(least.select("u", F.least("u", "m").alias("m"), F.explode("salts").alias("salt")), ["u", "salt"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -349,6 +349,15 @@ def _cross_pairs(opened: DataFrame, reps: DataFrame, sets: DataFrame, similar: S
     return found[0].unionAll(found[1]).groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
+def _extended(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components with ``more`` links, which are often none: then nothing is contracted again."""
+    more = materialized(more, "links")
+    if more.isEmpty():
+        return links, found
+    links = links.unionAll(more)
+    return links, components(links)
+
+
 def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     """(node, component) of everything that verified links connect.
 
@@ -366,16 +375,14 @@ def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, similar: Simil
         if seed == STAR_ROUNDS:
             break
         again = _best_leaders(opened.where("comp != main"), reps, similar)
-        links = materialized(links.unionAll(_verified(again, sets, similar)), "links")
-        found = components(links)
+        links, found = _extended(links, found, _verified(again, sets, similar))
 
     best_first = Window.partitionBy("a").orderBy("bits", "b")
     pairs = materialized(_cross_pairs(opened, reps, sets, similar), "cross-pairs")
     take = 1
     while not pairs.isEmpty():
         ranked = materialized(pairs.withColumn("place", F.row_number().over(best_first)), "ranked-pairs")
-        links = materialized(links.unionAll(_verified(ranked.where(F.col("place") <= take), sets, similar)), "links")
-        found = components(links)
+        links, found = _extended(links, found, _verified(ranked.where(F.col("place") <= take), sets, similar))
         of_a = found.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
         of_b = found.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
         left = ranked.where(F.col("place") > take).join(of_a, "a", "left").join(of_b, "b", "left")
