@@ -99,6 +99,28 @@ def test_a_third_of_all_rows_are_copies_and_no_rows(spark):
     assert R.repeats_report(empty).count() == 0 and R.without_repeats(empty).count() == 0
 
 
+def test_a_key_with_very_many_pieces_is_dealt_over_tasks(spark):
+    """One key on 2,000 of 3,000 different pieces: the join that gives its size to its pieces is split."""
+    rows = [(i, i, 0, False, 0, 10, 7 if i < 2000 else i // 2, i * 104729, i, False) for i in range(3000)]
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        live = R._live_pieces(spark.createDataFrame(rows, R._PIECES).repartition(16), 400, 5000)
+        got = {r.s2: (r.key, r.one_d1, r.group_size, r.twice, r.hot) for r in live.collect()}
+        plan = live._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: (7, i, 2000 * 409, False, True) if i < 2000 else (i // 2, i, 2 * 409, False, False) for i in range(3000)}
+    assert "skew=true" in plan.split("== Initial Plan ==")[0]
+
+
 def test_suffix_order_and_common_prefixes():
     rng = np.random.default_rng(0)
     for trial in range(120):
